@@ -78,6 +78,30 @@ def sketch(batches: Iterator[pa.RecordBatch], rows: int, bands: int) -> Iterator
         yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(k1), pa.array(bm), pa.array(size)], ["band", "k1", "bm", "n"])
 
 
+def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows, sorted by band, whose band another row has too. Streams: only the last row of a batch waits for the next one."""
+    held: pa.RecordBatch | None = None
+    like = False
+    for b in batches:
+        if not b.num_rows:
+            continue
+        x = np.asarray(b.column(0))
+        same = x[1:] == x[:-1]
+        if held is not None:
+            goes_on = held.column(0)[0].as_py() == x[0]
+            if like or goes_on:
+                yield held
+        else:
+            goes_on = False
+        before = np.append(goes_on, same)
+        keep = before[:-1] | same
+        if keep.any():
+            yield b.slice(0, b.num_rows - 1).filter(pa.array(keep))
+        held, like = b.slice(b.num_rows - 1), bool(before[-1])
+    if held is not None and like:
+        yield held
+
+
 def verify(batches: Iterator[pa.RecordBatch], least: float, count: int) -> Iterator[pa.RecordBatch]:
     """Estimate, then exact similarity of candidate classes."""
     for b in batches:
@@ -99,7 +123,9 @@ def verify(batches: Iterator[pa.RecordBatch], least: float, count: int) -> Itera
 def class_pairs(texts: DataFrame, least: float, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
     """Pairs of different classes (a1, a2) and (b1, b2) with exact similarity >= ``least``; ``texts``: a written table of ``bags``."""
     classes = texts.select("k1", "k2", "n", "bm", "feats").repartition("k1").dropDuplicates(["k1", "k2"])
-    keys = classes.mapInArrow(lambda it: sketch(it, rows, bands), "band long, k1 long, bm long, n int")
+    kind = "band long, k1 long, bm long, n int"
+    keys = classes.mapInArrow(lambda it: sketch(it, rows, bands), kind).repartition("band").sortWithinPartitions("band")
+    keys = materialize(keys.mapInArrow(shared, kind), "shared")  # one shuffle; most bands belong to one class and end here
     a, b = keys.alias("a"), keys.alias("b")
     near = a.join(b, (F.col("a.band") == F.col("b.band")) & F.expr("a.k1 < b.k1") & bags.close_enough(least))
     pairs = near.select(F.col("a.k1").alias("a1"), F.col("b.k1").alias("b1")).distinct()
