@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import importlib
 
-from pyspark.sql import DataFrame, SparkSession
+from .plans.base import QUERIES, SQL, Query
 
+for _m in ("core", "browsing", "texts", "measures", "store"):
+    importlib.import_module(f".plans.{_m}", __package__)
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

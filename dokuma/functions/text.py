@@ -66,3 +66,50 @@ def lower_tr(c: Column) -> Column:
 
 def upper_tr(c: Column) -> Column:
     return F.upper(F.translate(c, TR_LOWER, TR_UPPER))
+
+
+# Closing marks that may follow a sentence's end, and the marks that end one.
+CLOSERS = "\"'»”’)]}"
+SENTENCE_END = ".!?…"
+_CLOSERS_RE = r"""["'»”’)\]}\s]"""
+
+
+@F.pandas_udf(T.StringType())
+def nfc_text(s):  # noqa: ANN001, ANN201
+    """NFC of a column (Arrow batches); null stays null."""
+    return s.map(nfc, na_action="ignore")
+
+
+def dedupe_key(c: Column, normalise: bool = True) -> Column:
+    """Comparison key: NFC, Turkish lower case, all but word characters to blanks, white space collapsed and trimmed."""
+    c = lower_tr(nfc_text(c) if normalise else c)
+    return F.trim(F.regexp_replace(F.regexp_replace(c, r"[^\p{L}\p{N}_\s]", " "), r"(?U)\s+", " "))
+
+
+def collapse(c: Column) -> Column:
+    """White space (no-break included) to single blanks, runs of one of . , ! ? ; : to one, trimmed."""
+    return F.trim(F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", " "), r"([.,!?;:])\1+", "$1"))
+
+
+light_clean = collapse
+
+
+def strip_closers(c: Column) -> Column:
+    return F.regexp_replace(c, _CLOSERS_RE + "+$", "")
+
+
+def has_sentence_end(c: Column) -> Column:
+    """Ends with a sentence mark, closing marks aside; null is false."""
+    return F.coalesce(strip_closers(c).rlike(r"[.!?…]$"), F.lit(False))
+
+
+def is_lower_start(c: Column) -> Column:
+    """The first letter or digit is a letter in lower case (Turkish); digits and texts without either are not broken."""
+    first = F.regexp_extract(c, r"([\p{L}\p{Nd}])", 1)
+    return F.coalesce(first.rlike(r"\p{L}") & (first == lower_tr(first)) & (first != upper_tr(first)), F.lit(False))
+
+
+def cer(ref: Column, hyp: Column, normalise: bool = True) -> Column:
+    """Character error rate of normalised texts: Levenshtein distance over the reference's length; null for an empty reference."""
+    a, b = dedupe_key(ref, normalise), dedupe_key(hyp, normalise)
+    return F.when(F.length(a) > 0, F.levenshtein(a, b) / F.length(a))

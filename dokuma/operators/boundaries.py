@@ -1,0 +1,75 @@
+"""Moving clip ends into silence: for neighbours closer than both pads, the longest quiet run between them is sought in the recording's envelope."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+
+@dataclass(frozen=True)
+class Search:
+    hop_sec: float = 0.01
+    lead_sec: float = 0.15
+    trail_sec: float = 0.25
+    below_db: float = 25.0
+    least_sec: float = 0.06
+    back_sec: float = 0.05
+    ahead_sec: float = 0.6
+    context_sec: float = 1.0
+    late_sec: float = 0.1
+
+
+def quiet(env: np.ndarray, t_end: float, t_next: float, s: Search) -> tuple[float, float] | None:
+    """Longest run of the search window that is quieter than the context's 90th percentile less ``below_db``; None where there is none."""
+    at = lambda t: min(max(int(round(t / s.hop_sec)), 0), len(env))
+    lo, hi = at(t_end - s.back_sec), at(max(t_next, t_end) + s.ahead_sec)
+    context = env[at(t_end - s.context_sec) : at(max(t_next, t_end) + s.context_sec)]
+    if hi <= lo or not len(context):
+        return None
+    low = env[lo:hi] < np.percentile(context, 90) - s.below_db
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], low.view(np.int8), [0]])))
+    runs = edge.reshape(-1, 2)
+    runs = runs[(runs[:, 1] - runs[:, 0]) * s.hop_sec >= s.least_sec - 1e-9]
+    if not len(runs):
+        return None
+    a, b = runs[np.argmax(runs[:, 1] - runs[:, 0])]
+    return (lo + a) * s.hop_sec, (lo + b) * s.hop_sec
+
+
+def refine(clips: list[dict], words: list[dict], env: np.ndarray, s: Search) -> list[dict]:
+    """Clips {start, end, a, b} with new ends between close neighbours; all clamps keep clips ordered and around their words."""
+    out = [dict(c) for c in clips]
+    for p, n in zip(out, out[1:]):
+        t_end, t_next = words[p["b"] - 1]["end"], words[n["a"]]["start"]
+        if t_next - t_end >= s.lead_sec + s.trail_sec:
+            continue
+        run = quiet(env, t_end, t_next, s)
+        if run and run[0] <= t_next + s.late_sec:
+            mid = sum(run) / 2
+            end, start = min(run[0] + s.trail_sec, mid), max(run[1] - s.lead_sec, mid)
+        elif t_next < t_end:
+            end = start = (t_end + t_next) / 2
+        else:
+            end, start = min(p["end"], t_next), min(n["start"], t_next)
+        end = max(end, words[p["b"] - 1]["start"] + 0.05)
+        start = max(start, end)
+        start = min(start, max(n["end"] - 0.05, words[n["a"]]["start"]))
+        p["end"], n["start"] = round(end, 3), round(max(start, end), 3)
+    return out
+
+
+def refine_boundaries(recordings: DataFrame, search: Search | None = None, group: str = "source_id") -> DataFrame:
+    """``recordings``: group, clips, words and the envelope in dB as arrays; returns them with refined clips. Recordings without an envelope stay as they are."""
+    s = search or Search()
+    schema = recordings.select(group, "clips").schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([refine(c or [], w, np.array(e), s) if e and w else c for c, w, e in rows], b.column(1).type)], [group, "clips"])
+
+    return recordings.select(group, "clips", "words", "envelope").mapInArrow(run, schema)
