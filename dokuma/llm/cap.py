@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.skew import ranked
+from ..operators.skew import fresh, ranked
 from ..session import materialize
 
 
@@ -45,28 +45,28 @@ def over_cap(records: DataFrame, contributor: str, quality: list[Column], share:
 
     ``records`` holds each record once. A null contributor is no contributor and loses nothing. A null stratum is a stratum
     of its own. ``quality``: best first, made total by its last expression. Empty input: empty result."""
-    has = records.filter(F.col(contributor).isNotNull())
-    has = has.withColumn("_stratum", F.col(stratum).cast("string") if stratum else F.lit(None).cast("string"))
-    sizes = materialize(has.groupBy(contributor, "_stratum").agg(F.count("*").alias("_size")), "strata")
+    st, quota, rank = fresh(records, "_stratum", "_slots", "_rank")
+    has = records.filter(F.col(contributor).isNotNull()).withColumn(st, F.col(stratum).cast("string") if stratum else F.lit(None).cast("string"))
+    sizes = has.select(F.col(contributor).alias("owner"), F.col(st).alias("part")).groupBy("owner", "part").agg(F.count("*").alias("size"))
+    sizes = materialize(sizes, "strata")
     if cap is None:
-        total = sizes.agg(F.sum("_size")).first()[0] or 0
+        total = sizes.agg(F.sum("size")).first()[0] or 0
         cap = math.floor(Fraction(str(share)) * total)
-    heavy = sizes.groupBy(contributor).agg(F.sum("_size").alias("_all")).filter(F.col("_all") > cap).select(contributor)
+    heavy = sizes.groupBy("owner").agg(F.sum("size").alias("all")).filter(F.col("all") > cap).select("owner")
 
-    def plan(_: tuple, t: pa.Table) -> pa.Table:
-        rows = sorted(t.to_pylist(), key=lambda r: (r["_stratum"] is not None, r["_stratum"] or ""))
-        slots = apportion([r["_size"] for r in rows], cap)
-        return pa.table({"_owner": pa.array([r[contributor] for r in rows]), "_group": pa.array([r["_stratum"] for r in rows], pa.string()), "_slots": pa.array(slots, pa.int64()), "_weight": pa.array([r["_size"] for r in rows], pa.int64())})
+    def plan(t: pa.Table) -> pa.Table:
+        rows = sorted(t.to_pylist(), key=lambda r: (r["part"] is not None, r["part"] or ""))
+        slots = apportion([r["size"] for r in rows], cap)
+        return pa.table({"owner": pa.array([r["owner"] for r in rows], t.schema.field("owner").type), "part": pa.array([r["part"] for r in rows], pa.string()), "slots": pa.array(slots, pa.int64()), "size": pa.array([r["size"] for r in rows], pa.int64())})
 
     kind = dict(records.dtypes)[contributor]
-    slots = sizes.join(heavy, contributor).groupBy(contributor).applyInArrow(plan, f"_owner {kind}, _group string, _slots long, _weight long")
-    slots = materialize(slots, "slots")
-    # Contributors above a share of s are fewer than 1/s: their strata are few, and broadcast while they are.
-    few = slots.count() <= 10_000
-    cut = slots.filter("_slots < _weight").select("_owner", "_group", "_slots")
-    r, s = has.alias("r"), (F.broadcast(cut) if few else cut).alias("s")
-    touched = r.join(s, (F.col(f"r.{contributor}") == F.col("s._owner")) & F.expr("r._stratum <=> s._group")).select("r.*", "s._slots")
-    return ranked(touched, [contributor, "_stratum"], quality, "_rank").filter("_rank > _slots").drop("_rank", "_slots", "_stratum")
+    slots = sizes.join(heavy, "owner").groupBy("owner").applyInArrow(plan, f"owner {kind}, part string, slots long, size long")
+    cut = materialize(slots.filter("slots < size").drop("size"), "slots")
+    # Contributors above a share s are fewer than 1/s, so their strata are few; they are broadcast only while they are.
+    few = cut.count() <= 10_000
+    s = (F.broadcast(cut) if few else cut).alias("s")
+    touched = has.alias("r").join(s, (F.col(f"r.`{contributor}`") == F.col("s.owner")) & F.col(f"r.`{st}`").eqNullSafe(F.col("s.part"))).select("r.*", F.col("s.slots").alias(quota))
+    return ranked(touched, [contributor, st], quality, rank).filter(F.col(rank) > F.col(quota)).select(*records.columns)
 
 
 def metric_of(column: pa.Array, key: str) -> pa.Array:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import channel_names
+from ..operators.skew import fresh, hot_split_join
 from ..session import materialize
 from .components import components
 
@@ -62,21 +63,19 @@ def assign(records: DataFrame, left: str, right: str, weight: str, shares: dict[
     """``records`` with ``group_id`` and ``split``. Records that share a value of ``left`` or ``right``, directly or through others, get one split; a
     record with neither is a group of its own. Empty input: empty result."""
     spark = records.sparkSession
+    key, = fresh(records, "_entity")
     records = materialize(records, "records")
     roots = materialize(entity_groups(records, left, right), "roots")
     entity = F.coalesce(left, right, F.concat(F.lit("r"), F.col("id")))
-    own = records.withColumn("_entity", entity)
-    hot = own.groupBy("_entity").agg(F.count("*").alias("_n")).join(roots.select(F.col("node").alias("_entity"), "root"), "_entity", "left").select("_entity", F.coalesce("root", "_entity").alias("group_id"), "_n")
-    from ..operators.skew import hot_split_join
-
-    grouped = hot_split_join(own, materialize(hot, "entities"), ["_entity"], "_n").drop("_entity")
-    sums = materialize(grouped.groupBy("group_id").agg(F.sum(weight).alias("w")), "groups")
+    own = records.withColumn(key, entity)
+    counts = own.groupBy(key).agg(F.count("*").alias("_n")).join(roots.withColumnRenamed("node", key), key, "left").select(key, F.coalesce("root", key).alias("group_id"), "_n")
+    grouped = hot_split_join(own, materialize(counts, "entities"), [key], "_n").drop(key)
+    sums = materialize(grouped.groupBy("group_id").agg(F.sum(weight).alias("w"), F.count("*").alias("_n")), "groups")
     total = sums.agg(F.sum("w")).first()[0] or 0
     bundle = F.concat(F.lit("b"), F.pmod(F.xxhash64("group_id"), F.lit(BUNDLES)))
     item = F.when(F.col("w") >= total / SINGLE, F.concat(F.lit("g"), F.col("group_id"))).otherwise(bundle)
     sums = sums.withColumn("item", item)
     dealt = deal([(r.item, r.w or 0) for r in sums.groupBy("item").agg(F.sum("w").alias("w")).collect()], shares)  # SINGLE + BUNDLES rows at most
     table = spark.createDataFrame(list(dealt.items()) or [("", "")], "item string, split string")
-    splits = sums.join(F.broadcast(table), "item").select("group_id", "split", F.lit(1).alias("_n"))
-    counts = grouped.groupBy("group_id").agg(F.count("*").alias("_n"))
-    return hot_split_join(grouped, materialize(splits.drop("_n").join(counts, "group_id"), "dealt"), ["group_id"], "_n")
+    splits = sums.join(F.broadcast(table), "item").select("group_id", "split", "_n")  # SINGLE + BUNDLES rows at most
+    return hot_split_join(grouped, materialize(splits, "dealt"), ["group_id"], "_n")

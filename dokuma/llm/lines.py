@@ -64,9 +64,10 @@ def repeated(lines: DataFrame, support: int = 5) -> tuple[DataFrame, DataFrame]:
     """(nodes, occurrences): lines held by at least ``support`` recordings of their channel with that number, and each of their places.
     Null recordings support nothing, but their lines are places too."""
     lines = lines.distinct()
-    nodes = lines.filter("source_id is not null").select(*NODE, "source_id").distinct().groupBy(*NODE).agg(F.count("*").alias("n_sources")).filter(F.col("n_sources") >= support)
+    by_source = lines.groupBy(*NODE, "source_id").agg(F.count("*").alias("rows"))
+    nodes = by_source.groupBy(*NODE).agg(F.count("source_id").alias("n_sources"), F.sum("rows").alias("n_rows")).filter(F.col("n_sources") >= support)
     nodes = materialize(nodes, "nodes")
-    return nodes, hot_split_join(lines, nodes.withColumn("w", F.col("n_sources")), NODE, "w")
+    return nodes, hot_split_join(lines, nodes, NODE, "n_rows")
 
 
 def blocks(occurrences: DataFrame, support: int = 5) -> DataFrame:

@@ -219,9 +219,9 @@ def residue(docs: DataFrame, recurs: int = RECURS) -> DataFrame:
     """(doc_id, n_strong, n_weak, n_left, n_boilerplate) of each document with evidence in its residual. Repeated rows of a document count once a line;
     null and blank texts have no lines and are none of them."""
     lines = materialize(line_evidence(docs), "lines")
-    common = lines.groupBy(*KEY, "doc_id").agg(F.max("evidence").alias("evidence")).groupBy(*KEY).agg(F.count("*").alias("n"), F.max("evidence").alias("evidence")).filter((F.col("n") >= recurs) & (F.col("evidence") == NONE))
+    common = lines.groupBy(*KEY, "doc_id").agg(F.max("evidence").alias("evidence"), F.count("*").alias("rows")).groupBy(*KEY).agg(F.count("*").alias("n"), F.sum("rows").alias("rows"), F.max("evidence").alias("evidence")).filter((F.col("n") >= recurs) & (F.col("evidence") == NONE)).drop("n")
     suspects = lines.groupBy("doc_id").agg(F.max("evidence").alias("m"), F.count("*").alias("all"), F.sum((F.col("evidence") == STRONG).cast("long")).alias("n_strong"), F.sum((F.col("evidence") == WEAK).cast("long")).alias("n_weak")).filter("m > 0")
-    gone = hot_split_join(lines.filter(F.col("evidence") == NONE).select("doc_id", *KEY), materialize(common.drop("evidence"), "common"), KEY, "n").groupBy("doc_id").agg(F.count("*").alias("gone"))
+    gone = hot_split_join(lines.filter(F.col("evidence") == NONE).select("doc_id", *KEY), materialize(common.drop("evidence"), "common"), KEY, "rows").groupBy("doc_id").agg(F.count("*").alias("gone"))
     j = suspects.join(gone, "doc_id", "left").withColumn("n_boilerplate", F.coalesce("gone", F.lit(0)))
     left = F.col("all") - F.col("n_boilerplate")
     return j.filter((F.col("n_strong") > 0) | (F.col("n_weak") == left)).select("doc_id", "n_strong", "n_weak", left.cast("long").alias("n_left"), F.col("n_boilerplate").cast("long").alias("n_boilerplate"))
