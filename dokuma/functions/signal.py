@@ -71,9 +71,9 @@ def tail_windows(n: Column, window: int, hop: int) -> Column:
 
 
 def quality_windows(seconds: Column) -> Column:
-    """Number of 9.01 s windows at a 1 s hop; signals below one window are repeated until they fill one, then counted."""
-    length = F.when(seconds < 9.01, seconds * F.ceil(9.01 / seconds)).otherwise(seconds)
-    return F.when(seconds > 0, F.greatest(F.floor(length) - 9 + 1, F.lit(1)).cast("int")).otherwise(0)
+    """Number of 9.01 s windows at a 1 s hop; a shorter signal is doubled until it fills one."""
+    length = F.when(seconds < 9.01, seconds * F.pow(F.lit(2.0), F.ceil(F.log2(9.01 / seconds)))).otherwise(seconds)
+    return F.when(seconds > 0, F.greatest(F.floor(length) - 9, F.lit(1)).cast("int")).otherwise(0)
 
 
 def envelope(x: Column, frame: int, hop: int) -> Column:

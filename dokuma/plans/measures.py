@@ -102,7 +102,7 @@ def speech_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return j.select("source_id", signal.speech_metrics(F.col("regions"), F.col("duration")).alias("m")).select("source_id", "m.*")
 
 
-@query(f"SELECT id, CAST(CASE WHEN duration > 0 THEN greatest(floor(CASE WHEN duration < 9.01 THEN duration * ceil(9.01 / duration) ELSE duration END) - 8, 1) ELSE 0 END AS INTEGER) AS n_quality, len(list_distinct(list_concat(range(0, greatest(CAST(round(duration * 100) AS BIGINT) - 1024, 0) + 1, 500), [greatest(CAST(round(duration * 100) AS BIGINT) - 1024, 0)]))) AS n_tail FROM {ONCE} WHERE duration IS NOT NULL")
+@query(f"SELECT id, CAST(CASE WHEN duration > 0 THEN greatest(floor(CASE WHEN duration < 9.01 THEN duration * pow(2, ceil(log2(9.01 / duration))) ELSE duration END) - 9, 1) ELSE 0 END AS INTEGER) AS n_quality, len(list_distinct(list_concat(range(0, greatest(CAST(round(duration * 100) AS BIGINT) - 1024, 0) + 1, 500), [greatest(CAST(round(duration * 100) AS BIGINT) - 1024, 0)]))) AS n_tail FROM {ONCE} WHERE duration IS NOT NULL")
 def window_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Analysis windows of each clip: 9.01 s by 1 s, and 10.24 s by 5 s with an anchored tail."""
     c = table(spark, sf, "clips").filter("id is not null").dropDuplicates(["id"]).filter("duration is not null")
