@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import lower_tr, strip_closers
+from .text import let, lower_tr, strip_closers
 
 # Abbreviations whose full stop ends no sentence.
 ABBREVIATIONS = (
@@ -35,7 +35,8 @@ def is_boundary(prev: Column, cur: Column, nxt: Column) -> Column:
     ordinal = (F.length(core) <= ORDINAL_DIGITS) & ~F.coalesce(token_core(prev).isin(NUMBER_LABELS), F.lit(False))
     number_goes_on = number & (ordinal | nxt.isNull() | ~starts_sentence(nxt) | F.coalesce(token_core(nxt).isin(ORDINAL_FOLLOWERS), F.lit(False)))
     stop = bare.rlike(r"\.$") & (abbreviation | number_goes_on)
-    return F.coalesce(bare.rlike(r"[.!?…]$") & ~stop & (nxt.isNull() | starts_sentence(nxt)), F.lit(False))
+    full = F.coalesce(bare.rlike(r"[.!?…]$") & ~stop & (nxt.isNull() | starts_sentence(nxt)), F.lit(False))
+    return F.when(cur.rlike(r"[.!?…]"), full).otherwise(False)  # most tokens have no mark at all
 
 
 def boundaries(tokens: Column) -> Column:
@@ -52,8 +53,8 @@ def sentence_spans(tokens: Column) -> Column:
     n = F.size(tokens)
     ends = F.filter(F.transform(boundaries(tokens), lambda e, i: F.when(e, i + 1)), lambda x: x.isNotNull())
     ends = F.array_distinct(F.concat(ends, F.array(n)))
-    starts = F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.size(ends) - 1))
-    return F.when(n > 0, F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("a"), b.alias("b")))).otherwise(F.array().cast("array<struct<a:int,b:int>>"))
+    spans = lambda e: F.zip_with(F.concat(F.array(F.lit(0)), F.slice(e, 1, F.size(e) - 1)), e, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    return F.when(n > 0, let(ends, spans)).otherwise(F.array().cast("array<struct<a:int,b:int>>"))
 
 
 def is_clitic(t: Column) -> Column:

@@ -68,6 +68,11 @@ def upper_tr(c: Column) -> Column:
     return F.upper(F.translate(c, TR_LOWER, TR_UPPER))
 
 
+def let(value: Column, use) -> Column:  # noqa: ANN001
+    """``use(value)`` with ``value`` worked out once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 # Closing marks that may follow a sentence's end, and the marks that end one.
 CLOSERS = "\"'»”’)]}"
 SENTENCE_END = ".!?…"

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import sentences, speech, text
 from ..operators import boilerplate, segment
+from ..session import spread
 from .base import ONCE, key, low, query, table
 from .core import SPLIT_CLIPS, split_clips
 
@@ -44,7 +45,7 @@ BOUNDARY = rf"""(SELECT doc_id, pos, t, coalesce(regexp_matches(bare, '[.!?…]$
 
 
 def doc_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents").filter("text is not null")
+    d = spread(table(spark, sf, "documents").select("doc_id", "source", "text").filter("text is not null"))
     return d.select("doc_id", "source", F.filter(F.split("text", r"[ \t\n\x0B\f\r]+"), lambda x: x != "").alias("tokens"))
 
 

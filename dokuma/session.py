@@ -48,6 +48,15 @@ def materialize(df: DataFrame, what: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan (with at most projections and filters) that would run in fewer tasks than there are cores - a small file - dealt out to all of them. Larger inputs,
+    which are split by size, stay as they are and move no data."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if "Adaptive" in scan._jdf.queryExecution().executedPlan().nodeName():  # not a mere scan: its shuffles would run for the count
+        return scan
+    return scan.repartition(cores) if scan._jdf.queryExecution().toRdd().getNumPartitions() < cores else scan
+
+
 _bases: set[str] = set()
 
 
