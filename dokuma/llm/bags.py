@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import words
+from ..session import spread
 
 CACHE = 1_000_000
 U = np.uint64
@@ -88,7 +89,7 @@ def bags(df: DataFrame, id_col: str, text: Column, least_words: int) -> DataFram
             blob = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(f)])
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(bm.view(np.int64)), blob], ["id", "k1", "k2", "n", "bm", "feats"])
 
-    two = df.select(F.col(id_col).cast("string").alias("id"), text.alias("text"))
+    two = spread(df.select(F.col(id_col).cast("string").alias("id"), text.alias("text")))
     return two.mapInArrow(run, "id string, k1 long, k2 long, n int, bm long, feats binary")
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.skew import fresh, ranked
-from ..session import materialize
+from ..session import materialize, spread
 
 
 def apportion(sizes: list[int], cap: int) -> list[int]:
@@ -96,7 +96,7 @@ def scored_clips(clips: DataFrame, key: str = "dnsmos_ovrl") -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), channel_names(b.column(1)), metric_of(b.column(3), key), b.column(2)], ["id", "channel", "score", "duration"])
 
     once = clips.select("id", "channel", "duration", "metrics_json").filter("id is not null")
-    return once.mapInArrow(run, "id string, channel string, score double, duration double").dropDuplicates(["id"])
+    return spread(once).mapInArrow(run, "id string, channel string, score double, duration double").dropDuplicates(["id"])
 
 
 def quality() -> list[Column]:

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .folding import folded_words
 
 BLOCK = 20_000
@@ -168,7 +169,7 @@ def leaks(docs: DataFrame, tests: DataFrame, window: int = 12, budget: int = 1)
     for block in range(max(1, -(-n // BLOCK))):
         part = own.filter(F.pmod(F.xxhash64("item_id"), F.lit(max(1, -(-n // BLOCK)))) == block) if n > BLOCK else own
         table = spark.sparkContext.broadcast(Items([(r.item_id, folded_words(r.text)) for r in part.toLocalIterator()], window, budget))
-        found = docs.select("doc_id", "text").mapInArrow(lambda it, t=table: search(it, t.value), f"doc_id {kind}, item_id long, run long, distance long, item_words long")
+        found = spread(docs.select("doc_id", "text")).mapInArrow(lambda it, t=table: search(it, t.value), f"doc_id {kind}, item_id long, run long, distance long, item_words long")
         out = found if out is None else out.unionByName(found)
     return out.filter(F.col("distance") <= budget)
 

@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from ..functions.text import DIGITS, channel_names, words
 from ..operators.skew import hot_split_join
-from ..session import materialize
+from ..session import materialize, spread
 from .components import components
 
 
@@ -54,7 +54,8 @@ def line_rows(clips: DataFrame, least_words: int = 4) -> DataFrame:
             out = pa.RecordBatch.from_arrays([ids, pa.array(no, pa.int32()), channel, source, pa.array(k[:, 0]), pa.array(k[:, 1])], ["id", "line_no", "channel", "source_id", "k1", "k2"])
             yield out.filter(pc.and_(pc.is_valid(channel), pc.is_valid(ids)))
 
-    return clips.select("id", F.col("source_id").cast("long").alias("source_id"), "channel", "text").mapInArrow(run, "id string, line_no int, channel string, source_id long, k1 long, k2 long")
+    scan = spread(clips.select("id", F.col("source_id").cast("long").alias("source_id"), "channel", "text"))
+    return scan.mapInArrow(run, "id string, line_no int, channel string, source_id long, k1 long, k2 long")
 
 
 NODE = ["channel", "k1", "k2"]

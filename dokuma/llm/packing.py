@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.skew import ranked
-from ..session import materialize
+from ..session import materialize, spread
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: the pattern that byte-level BPE vocabularies of this family split by.
@@ -48,7 +48,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", tokenizer: str = TOKEN
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], [id_col, "n_tokens"])
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, "text").mapInArrow(run, f"{id_col} {kind}, n_tokens long")
+    return spread(docs.select(id_col, "text")).mapInArrow(run, f"{id_col} {kind}, n_tokens long")
 
 
 class Sums:

@@ -95,9 +95,8 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_splits(spark: SparkSession, sf: str) -> DataFrame:
-    """Clips and seconds of each split."""
-    out = group_split.assign(group_split.named(table(spark, sf, "clips")), "source", "channel", "ms", SHARES)
-    return out.groupBy("split").agg(F.count("*").alias("n_clips"), F.countDistinct("group_id").alias("n_groups"), F.round(F.sum("ms") / 1000, 3).alias("seconds"))
+    """Each clip with its group and split."""
+    return group_split.assign(group_split.named(table(spark, sf, "clips")), "source", "channel", "ms", SHARES).select("id", "group_id", "split")
 
 
 def p6_percentiles(spark: SparkSession, sf: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import DIGITS, WORD, channel_names
 from ..operators.skew import hot_split_join
-from ..session import materialize
+from ..session import materialize, spread
 from .folding import fold
 
 RECURS = 20
@@ -209,7 +209,7 @@ def line_evidence(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), host.take(pa.array(at)), pa.array(k[:, 0]), pa.array(k[:, 1]), pa.array(kind, pa.int32())], ["doc_id", "host", "k1", "k2", "evidence"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "source", "text").filter("doc_id is not null").mapInArrow(run, f"doc_id {kind}, host string, k1 long, k2 long, evidence int")
+    return spread(docs.select("doc_id", "source", "text").filter("doc_id is not null")).mapInArrow(run, f"doc_id {kind}, host string, k1 long, k2 long, evidence int")
 
 
 KEY = ["host", "k1", "k2"]
