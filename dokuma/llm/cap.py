@@ -46,6 +46,7 @@ def over_cap(records: DataFrame, contributor: str, quality: list[Column], share:
     ``records`` holds each record once. A null contributor is no contributor and loses nothing. A null stratum is a stratum
     of its own. ``quality``: best first, made total by its last expression. Empty input: empty result."""
     st, quota, rank = fresh(records, "_stratum", "_slots", "_rank")
+    records = materialize(records, "records")  # read twice: for the sizes, and to rank
     has = records.filter(F.col(contributor).isNotNull()).withColumn(st, F.col(stratum).cast("string") if stratum else F.lit(None).cast("string"))
     sizes = has.select(F.col(contributor).alias("owner"), F.col(st).alias("part")).groupBy("owner", "part").agg(F.count("*").alias("size"))
     sizes = materialize(sizes, "strata")
