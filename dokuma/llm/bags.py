@@ -18,6 +18,8 @@ from ..functions.text import words
 from ..session import spread
 
 CACHE = 1_000_000
+BUCKET_BITS = 18
+BUCKETS = 1 << BUCKET_BITS
 U = np.uint64
 
 
@@ -64,8 +66,8 @@ def features(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def bags(df: DataFrame, id_col: str, text: Column, least_words: int) -> DataFrame:
-    """One row per row of ``df`` whose text has at least ``least_words`` words: id, class key k1 k2, number of words n, bitmap bm
-    (one of 64 bits per feature) and the features as bytes. Null texts have no words."""
+    """One row per row of ``df`` whose text has at least ``least_words`` words: id, class key k1 k2, number of words n, a bitmap of 256 bits
+    (w0 to w3, one bit per feature), its union bm of 64 bits, and the features as bytes. Null texts have no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -84,13 +86,15 @@ def bags(df: DataFrame, id_col: str, text: Column, least_words: int) -> DataFram
             starts = np.cumsum(n) - n
             f = features(np.array(hs, U), starts)
             k1, k2 = np.add.reduceat(mix(f, 1), starts), np.add.reduceat(mix(f, 2), starts)
-            bm = np.bitwise_or.reduceat(U(1) << (f >> U(58)), starts)
+            bit = U(1) << (f >> U(56) & U(63))
+            wide = [np.bitwise_or.reduceat(np.where(f >> U(62) == j, bit, U(0)), starts) for j in range(4)]
+            bm = wide[0] | wide[1] | wide[2] | wide[3]
             offsets = np.append(starts, len(f)).astype(np.int32) * 8
             blob = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(f)])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(bm.view(np.int64)), blob], ["id", "k1", "k2", "n", "bm", "feats"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(n.astype(np.int32)), *[pa.array(x.view(np.int64)) for x in (bm, *wide)], blob], ["id", "k1", "k2", "n", "bm", "w0", "w1", "w2", "w3", "feats"])
 
     two = spread(df.select(F.col(id_col).cast("string").alias("id"), text.alias("text")))
-    return two.mapInArrow(run, "id string, k1 long, k2 long, n int, bm long, feats binary")
+    return two.mapInArrow(run, "id string, k1 long, k2 long, n int, bm long, w0 long, w1 long, w2 long, w3 long, feats binary")
 
 
 def blobs(column: pa.Array, dtype: type = np.uint64) -> tuple[np.ndarray, np.ndarray]:
@@ -104,6 +108,28 @@ def blobs(column: pa.Array, dtype: type = np.uint64) -> tuple[np.ndarray, np.nda
     return data, np.diff(offsets).astype(np.int64) // np.dtype(dtype).itemsize
 
 
+def bucket(f: np.ndarray) -> np.ndarray:
+    return (f >> U(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
+    """How many texts have a feature of each bucket (an upper bound by collisions), over all texts; and the number of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, rows = np.zeros(BUCKETS, np.int64), 0
+        for b in batches:
+            count += np.bincount(bucket(blobs(b.column(0))[0]), minlength=BUCKETS)
+            rows += b.num_rows
+        at = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(count[at], rows))], ["bucket", "n"])
+
+    got = texts.select("feats").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # BUCKETS rows at most
+    out = np.zeros(BUCKETS, np.int64)
+    own = got[got.bucket >= 0]
+    out[own.bucket.to_numpy()] = own.n.to_numpy()
+    return out, int(got[got.bucket < 0].n.sum())
+
+
 def overlaps(a: pa.Array, b: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each pair of feature blobs: shared features, and the sizes of both."""
     fa, na = blobs(a)
@@ -117,8 +143,9 @@ def overlaps(a: pa.Array, b: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return np.bincount(pair[1:][same], minlength=len(na)), na, nb
 
 
-def close_enough(least: float, a: str = "a", b: str = "b") -> Column:
+def close_enough(least: float, a: str = "a", b: str = "b", bits: tuple[str, ...] = ("bm",)) -> Column:
     """Necessary for Jaccard >= ``least``, from sizes and bitmaps alone: each differing bit stands for at least one feature
     that only one text has, and those are at most (na + nb) (1 - 2 least / (1 + least))."""
     most = 1 - 2 * least / (1 + least)
-    return F.expr(f"bit_count({a}.bm ^ {b}.bm) <= ({a}.n + {b}.n) * {most + 1e-9}D AND {a}.n >= {least - 1e-9}D * {b}.n AND {b}.n >= {least - 1e-9}D * {a}.n")
+    differ = " + ".join(f"bit_count({a}.{w} ^ {b}.{w})" for w in bits)
+    return F.expr(f"{differ} <= ({a}.n + {b}.n) * {most + 1e-9}D AND {a}.n >= {least - 1e-9}D * {b}.n AND {b}.n >= {least - 1e-9}D * {a}.n")

@@ -21,17 +21,10 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from . import bags
 
-BUCKETS = 1 << 18
-
-
-def bucket(f: np.ndarray) -> np.ndarray:
-    return (f >> bags.U(46)).astype(np.int64)
-
-
 def raw_weights(f: np.ndarray, df: np.ndarray, n_texts: int, weighting: str) -> np.ndarray:
     if weighting == "unit":
         return np.ones(len(f))
-    return np.log1p(n_texts / np.maximum(df[bucket(f)], 1))
+    return np.log1p(n_texts / np.maximum(df[bags.bucket(f)], 1))
 
 
 def unit(f: np.ndarray, n: np.ndarray, df: np.ndarray, n_texts: int, weighting: str) -> np.ndarray:
@@ -40,36 +33,18 @@ def unit(f: np.ndarray, n: np.ndarray, df: np.ndarray, n_texts: int, weighting:
     return w / np.repeat(np.sqrt(np.add.reduceat(w * w, starts)), n)
 
 
-def frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
-    """How many texts have a feature of each bucket (an upper bound by collisions), over all texts; and the number of texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, rows = np.zeros(BUCKETS, np.int64), 0
-        for b in batches:
-            count += np.bincount(bucket(bags.blobs(b.column(0))[0]), minlength=BUCKETS)
-            rows += b.num_rows
-        at = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(count[at], rows))], ["bucket", "n"])
-
-    got = texts.select("feats").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # BUCKETS rows at most
-    out = np.zeros(BUCKETS, np.int64)
-    own = got[got.bucket >= 0]
-    out[own.bucket.to_numpy()] = own.n.to_numpy()
-    return out, int(got[got.bucket < 0].n.sum())
-
-
 def largest(texts: DataFrame, df, n_texts: int, weighting: str) -> dict[bool, np.ndarray]:  # noqa: ANN001
     """Largest weight of any text per bucket, for each side."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        most = np.zeros((2, BUCKETS), np.float64)
+        most = np.zeros((2, bags.BUCKETS), np.float64)
         for b in batches:
             f, n = bags.blobs(b.column(0))
             if not len(n):
                 continue
             w = unit(f, n, df.value, n_texts, weighting)
             held = np.repeat(np.asarray(b.column(1)).astype(np.int64), n)
-            np.maximum.at(most.reshape(-1), held * BUCKETS + bucket(f), w)
+            np.maximum.at(most.reshape(-1), held * bags.BUCKETS + bags.bucket(f), w)
         for s in (0, 1):
             at = np.flatnonzero(most[s])
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), s)), pa.array(at), pa.array(most[s][at])], ["side", "bucket", "w"])
@@ -77,7 +52,7 @@ def largest(texts: DataFrame, df, n_texts: int, weighting: str) -> dict[bool, np
     got = texts.select("feats", F.col("held").cast("int")).mapInArrow(run, "side long, bucket long, w double").groupBy("side", "bucket").agg(F.max("w").alias("w")).toPandas()  # 2 BUCKETS rows at most
     out = {}
     for s in (0, 1):
-        out[bool(s)] = np.zeros(BUCKETS)
+        out[bool(s)] = np.zeros(bags.BUCKETS)
         own = got[got.side == s]
         out[bool(s)][own.bucket.to_numpy()] = own.w.to_numpy()
     return out
@@ -91,10 +66,10 @@ def listed(batches: Iterator[pa.RecordBatch], df, most, n_texts: int, weighting:
             continue
         w = unit(f, n, df.value, n_texts, weighting)
         doc = np.repeat(np.arange(len(n)), n)
-        order = np.lexsort((f, df.value[bucket(f)], doc))  # rare first within each text
+        order = np.lexsort((f, df.value[bags.bucket(f)], doc))  # rare first within each text
         f, w = f[order], w[order]
         held = np.repeat(np.asarray(b.column("held")).astype(bool), n)
-        other = np.where(held, most.value[False][bucket(f)], most.value[True][bucket(f)])
+        other = np.where(held, most.value[False][bags.bucket(f)], most.value[True][bags.bucket(f)])
         ends = np.cumsum(n)
 
         def tail(x: np.ndarray) -> np.ndarray:
@@ -135,10 +110,10 @@ def cosine_join(texts: DataFrame, least: float, weighting: str = "unit", jaccard
     cosine and multiset Jaccard. ``texts``: a written table of ``bags`` with a boolean ``held``. ``jaccard`` (unit weights
     only): also drop in the join what sizes and bitmaps show to be below it."""
     spark = texts.sparkSession
-    count, n_texts = frequencies(texts)
+    count, n_texts = bags.frequencies(texts)
     df = spark.sparkContext.broadcast(count)
     most = spark.sparkContext.broadcast(largest(texts, df, n_texts, weighting))
-    classes = texts.select("k1", "k2", "held", "n", "bm", "feats").repartition("k1").dropDuplicates(["k1", "k2", "held"])
+    classes = texts.select("k1", "k2", "held", "n", "bm", "feats").dropDuplicates(["k1", "k2", "held"])
     lists = materialize(classes.mapInArrow(lambda it: listed(it, df, most, n_texts, weighting, least), "f long, k1 long, w float, after float, n int, bm long, held boolean"), "lists")
     a, b = lists.filter("held").alias("a"), lists.filter("not held").alias("b")
     reach = F.expr(f"double(a.w) * b.w + double(a.after) * b.after >= {least - 1e-4}D")

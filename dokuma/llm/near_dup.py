@@ -2,10 +2,14 @@
 
 Texts become word multisets (``bags``); equal multisets collapse into one class before anything is compared. Each class gets
 a HyperMinHash sketch: per bucket the leading-zero count of the least hash and the mantissa bits after it. Bands of registers
-are shuffled as 64-bit keys; classes that share one are compared by size and bitmap inside the join (a bound that loses
+are shuffled as 64-bit keys; classes that share one are compared by size and bitmap inside the join, then by a wider bitmap (bounds that lose
 no pair), then by the collision-corrected Jaccard estimate, then exactly.
 
 With 5 registers a band and 44 bands a pair of similarity 0.7 is missed with a chance of 3e-4, one of 0.75 with 7e-6.
+A band that more than ``HOT`` classes share - a template that fills a large part of the texts - would mean comparing all of them. Classes in such bands are paired
+exactly instead: two texts of similarity t share one of their n - ceil(t n) + 1 rarest features, so they are joined on those. That loses no pair, and is
+used for over-full bands only.
+
 The estimate comes from 220 registers (deviation 0.031 at 0.7) and rejects only below the threshold less 0.2.
 """
 
@@ -24,7 +28,7 @@ from .components import components
 
 ROWS, BANDS, MANTISSA = 5, 44, 4
 MARGIN = 0.2
-SCHEMA_T = "k1 long, k2 long, n int, bm long, feats binary"
+HOT = 2_000
 
 
 def registers(f: np.ndarray, starts: np.ndarray, count: int) -> np.ndarray:
@@ -102,6 +106,20 @@ def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held
 
 
+def rare_rows(batches: Iterator[pa.RecordBatch], count, least: float) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+    """The rarest features of each class, as many as a partner of similarity ``least`` must share one of."""
+    for b in batches:
+        f, n = bags.blobs(b.column("feats"))
+        if not len(n):
+            continue
+        doc = np.repeat(np.arange(len(n)), n)
+        order = np.lexsort((f, count.value[bags.bucket(f)], doc))
+        place = np.arange(len(f)) - np.repeat(np.cumsum(n) - n, n)
+        keep = place < (n - np.ceil(least * n - 1e-9).astype(np.int64) + 1)[doc]
+        k1, bm, size = (np.asarray(b.column(c))[doc][keep] for c in ("k1", "bm", "n"))
+        yield pa.RecordBatch.from_arrays([pa.array(f[order][keep].view(np.int64)), pa.array(k1), pa.array(bm), pa.array(size)], ["band", "k1", "bm", "n"])
+
+
 def verify(batches: Iterator[pa.RecordBatch], least: float, count: int) -> Iterator[pa.RecordBatch]:
     """Estimate, then exact similarity of candidate classes."""
     for b in batches:
@@ -120,19 +138,38 @@ def verify(batches: Iterator[pa.RecordBatch], least: float, count: int) -> Itera
         yield from t.combine_chunks().to_batches()
 
 
-def class_pairs(texts: DataFrame, least: float, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
+def class_pairs(texts: DataFrame, least: float, rows: int = ROWS, bands: int = BANDS, hot: int = HOT) -> DataFrame:
     """Pairs of different classes (a1, a2) and (b1, b2) with exact similarity >= ``least``; ``texts``: a written table of ``bags``."""
-    classes = texts.select("k1", "k2", "n", "bm", "feats").repartition("k1").dropDuplicates(["k1", "k2"])
     kind = "band long, k1 long, bm long, n int"
-    keys = classes.mapInArrow(lambda it: sketch(it, rows, bands), kind).repartition("band").sortWithinPartitions("band")
+    # Copies are dropped before the shuffle, so a text that fills a third of the table sends one row a task.
+    wide = ("w0", "w1", "w2", "w3")
+    classes = texts.select("k1", "k2", "n", "bm", *wide, "feats").dropDuplicates(["k1", "k2"])
+    keys = classes.select("k1", "n", "bm", "feats").mapInArrow(lambda it: sketch(it, rows, bands), kind).repartition("band").sortWithinPartitions("band")
     keys = materialize(keys.mapInArrow(shared, kind), "shared")  # one shuffle; most bands belong to one class and end here
-    a, b = keys.alias("a"), keys.alias("b")
-    near = a.join(b, (F.col("a.band") == F.col("b.band")) & F.expr("a.k1 < b.k1") & bags.close_enough(least))
-    pairs = near.select(F.col("a.k1").alias("a1"), F.col("b.k1").alias("b1")).distinct()
+
+    def joined(k: DataFrame) -> DataFrame:
+        a, b = k.alias("a"), k.alias("b")
+        near = a.join(b, (F.col("a.band") == F.col("b.band")) & F.expr("a.k1 < b.k1") & bags.close_enough(least))
+        return near.select(F.col("a.k1").alias("a1"), F.col("b.k1").alias("b1"))
+
+    full = materialize(keys.groupBy("band").agg(F.count("*").alias("rows")).filter(F.col("rows") > hot), "full")
+    n_full = full.count()
+    if n_full:
+        full = F.broadcast(full) if n_full <= 500_000 else full
+        marked = keys.join(full, "band", "left")
+        members = classes.join(marked.filter("rows is not null").select("k1").distinct(), "k1", "left_semi")
+        count = texts.sparkSession.sparkContext.broadcast(bags.frequencies(texts)[0])
+        rare = materialize(members.select("k1", "n", "bm", "feats").mapInArrow(lambda it: rare_rows(it, count, least), kind), "rare")
+        pairs = joined(marked.filter("rows is null").drop("rows")).unionByName(joined(rare)).distinct()
+    else:
+        pairs = joined(keys).distinct()
+    # The wide bitmaps leave few pairs below the threshold before any features are moved.
+    bits = classes.select("k1", "n", *wide)
+    pairs = pairs.join(bits.alias("a"), F.col("a1") == F.col("a.k1")).join(bits.alias("b"), (F.col("b1") == F.col("b.k1")) & bags.close_enough(least, bits=wide)).select("a1", "b1").distinct()
     left = classes.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("feats").alias("fa"))
     right = classes.select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("feats").alias("fb"))
-    full = pairs.join(left, "a1").join(right, "b1").select("a1", "a2", "fa", "b1", "b2", "fb")
-    return full.mapInArrow(lambda it: verify(it, least, 220), "a1 long, a2 long, b1 long, b2 long, jaccard double")
+    both = pairs.join(left, "a1").join(right, "b1").select("a1", "a2", "fa", "b1", "b2", "fb")
+    return both.mapInArrow(lambda it: verify(it, least, 220), "a1 long, a2 long, b1 long, b2 long, jaccard double")
 
 
 def near_duplicates(texts: DataFrame, least: float = 0.7, rows: int = ROWS, bands: int = BANDS) -> tuple[DataFrame, DataFrame]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dokuma.functions.text import words
 from dokuma.llm import bags, cross_split, near_dup
+from dokuma.session import materialize
 
 from .helpers import LONG, clips, rows
 
@@ -53,6 +54,17 @@ def test_all_pairs_found(spark):
     assert got == want and len(want) > 30
 
 
+@pytest.mark.parametrize("hot", [20, 2000])
+def test_template_that_fills_bands(spark, hot):
+    """Many texts share most of their words, yet few pairs reach the threshold."""
+    r = random.Random(11)
+    template = [f"kalıp{i}" for i in range(12)]
+    texts = [" ".join(template + [f"özel{r.randrange(300)}" for _ in range(4)]) for _ in range(250)] + planted(10)
+    b = materialize(bags.bags(table(spark, texts), "id", F.col("text"), 12))
+    got = {(x, y) for x, y in rows(near_dup.expand(b.select("id", "k1", "k2").distinct(), near_dup.class_pairs(b, 0.7, hot=hot)))}
+    assert got == {(f"c{i:04d}", f"c{j:04d}") for i in range(len(texts)) for j in range(i + 1, len(texts)) if similar(texts[i], texts[j])} and got
+
+
 def test_groups_cover_links(spark):
     texts = planted(20, 9)
     members, pairs = near_dup.near_duplicates(bags.bags(table(spark, texts), "id", F.col("text"), 12), 0.7)
@@ -122,7 +134,7 @@ def test_cross_split(spark, weighting):
 
 def brute_idf(b, least):
     data = [(r.id, r.held, np.frombuffer(bytes(r.feats), np.uint64)) for r in b.select("id", "held", "feats").collect()]
-    count, n = cross_split.frequencies(b)
+    count, n = bags.frequencies(b)
     unit = {}
     for i, held, f in data:
         w = cross_split.unit(f, np.array([len(f)]), count, n, "idf")
