@@ -107,3 +107,38 @@ def event_windows(spark: SparkSession, sf: str) -> DataFrame:
     from ..streaming import windows
 
     return windows(table(spark, sf, "events"), "ts", "event_type", "1 hour").select("event_type", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n")
+
+
+@query(f"SELECT DISTINCT channel FROM sources WHERE error IS NULL AND channel IS NOT NULL AND channel NOT IN (SELECT channel FROM sources WHERE error IS NULL AND channel IS NOT NULL AND id NOT IN (SELECT source_id FROM {ONCE} WHERE source_id IS NOT NULL))")
+def ready_channels(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import listening
+
+    return listening.ready_channels(table(spark, sf, "sources"), table(spark, sf, "clips"))
+
+
+@query(f"""SELECT channel, id, CAST(place AS INTEGER) AS place FROM (SELECT channel, id, row_number() OVER (PARTITION BY channel ORDER BY turn, sha256('7:' || CAST(source_id AS VARCHAR)), id) AS place FROM (SELECT channel, source_id, id, row_number() OVER (PARTITION BY channel, source_id ORDER BY sha256('7:' || id), id) AS turn FROM {ONCE} WHERE channel IS NOT NULL AND source_id IS NOT NULL) WHERE turn <= 10) WHERE place <= 10""")
+def deck_draw(spark: SparkSession, sf: str) -> DataFrame:
+    """Ten clips a channel are the feature."""
+    from ..operators import listening
+
+    c = table(spark, sf, "clips").filter("id is not null AND source_id is not null").dropDuplicates(["id"])
+    return listening.draw_deck(c, 10, "7").select("channel", "id", "place")
+
+
+@query(f"""SELECT arm, count(*) AS n, count(*) FILTER (verdict = 'temiz') AS hits, round(count(*) FILTER (verdict = 'temiz') / count(*), 6) AS share FROM (SELECT CASE WHEN duration < 7 THEN 'short' ELSE 'long' END AS arm, verdict FROM {ONCE} c JOIN (SELECT clip_id, arg_max(CASE verdict WHEN 'iyi' THEN 'temiz' WHEN 'kotu' THEN 'bozuk' WHEN 'kötü' THEN 'bozuk' WHEN 'orta' THEN 'kusurlu' ELSE verdict END, {{'a': ts, 'b': received_at, 'c': coalesce(verdict, ''), 'd': coalesce(note, '')}}) AS verdict FROM notes WHERE clip_id IS NOT NULL GROUP BY 1) n ON n.clip_id = c.id WHERE duration IS NOT NULL) GROUP BY arm""")
+def blind_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Notes taken as answers about short and long clips."""
+    from ..operators import listening
+
+    c = table(spark, sf, "clips").filter("id is not null").dropDuplicates(["id"])
+    arm = F.when(F.col("duration") < 7, "short").when(F.col("duration") >= 7, "long")
+    key = listening.blind_key(c, arm, 1 << 30, "audit")
+    answers = report.latest_notes(table(spark, sf, "notes")).join(key.select(F.col("id").alias("clip_id"), "code"), "clip_id").select("code", "verdict")
+    return listening.audit(answers, key, F.col("verdict") == "temiz")
+
+
+@query(f"""SELECT figure, expected, CAST(found AS DOUBLE) AS found, abs(found - expected) <= 0.5 AS ok FROM (SELECT 'clips' AS figure, 6000.0::DOUBLE AS expected, count(*) AS found FROM {ONCE} UNION ALL SELECT 'channels', 144.0, count(DISTINCT channel) FROM {ONCE} UNION ALL SELECT 'recordings', 773.0, count(DISTINCT source_id) FROM {ONCE})""")
+def published_figures(spark: SparkSession, sf: str) -> DataFrame:
+    """Recomputed figures against those a card states (of scale 0.01)."""
+    c = table(spark, sf, "clips").filter("id is not null").dropDuplicates(["id"])
+    return quality.figures(c, {"clips": (F.count("*"), 6000.0, 0.5), "channels": (F.countDistinct("channel"), 144.0, 0.5), "recordings": (F.countDistinct("source_id"), 773.0, 0.5)})

@@ -176,3 +176,18 @@ def repeated_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Text keys that several clips of a split share."""
     c = split_clips(spark, sf).select("split", text.dedupe_key(F.col("text")).alias("text_key")).filter("text_key <> ''")
     return c.groupBy("split", "text_key").agg(F.count("*").alias("n")).filter("n > 1")
+
+
+@query()
+def ablation_two_arms(spark: SparkSession, sf: str) -> DataFrame:
+    """Both segmentations of all recordings, figures per recording and in total (null): one rollup. No SQL twin, since both arms are sequential."""
+    words = timed_words(spark, sf)
+    sentence = segmented(spark, sf).select(F.lit("sentence").alias("arm"), "source_id", "text", "duration", "flags")
+    spans = segment.silence_clips(regions(spark, sf)).withColumnsRenamed({"start": "s", "end": "e"})
+    placed = segment.words_in_clips(words, spans.select("source_id", F.col("s").alias("start"), F.col("e").alias("end")))
+    texts = words.join(placed, ["source_id", "pos"]).groupBy("source_id", F.col("clip_start").alias("s"), F.col("clip_end").alias("e")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), " ").alias("text"))
+    silence = spans.join(texts, ["source_id", "s", "e"]).select(F.lit("silence").alias("arm"), "source_id", "text", (F.col("e") - F.col("s")).alias("duration"), "flags")
+    both = sentence.unionByName(silence)
+    low, end = text.is_lower_start(F.col("text")), text.has_sentence_end(F.col("text"))
+    r = both.rollup("arm", "source_id").agg(F.count("*").alias("n"), F.round(F.sum("duration"), 3).alias("seconds"), F.count_if(low).alias("lower_start"), F.count_if(~end).alias("no_end"), F.count_if(low & (F.size("flags") == 0)).alias("lower_start_unflagged"))
+    return r.filter("arm is not null")

@@ -58,3 +58,24 @@ def test_sessions_stream_equals_batch(spark, sf, tmp_path):
     q.awaitTermination()
     got, want = ({(r.user_id, r.start, r.end, r.n) for r in d.collect()} for d in (spark.table("sess"), streaming.sessions(events, "ts", "user_id", "30 minutes")))
     assert got <= want and len(got) >= 0.95 * len(want)
+
+
+def test_wav_files(spark, tmp_path):
+    import wave
+
+    import numpy as np
+
+    from dokuma.functions import signal
+    from dokuma.sources import audio
+
+    with wave.open(str(tmp_path / "a.wav"), "wb") as w:
+        w.setnchannels(1)
+        w.setsampwidth(2)
+        w.setframerate(8000)
+        w.writeframes((np.sin(np.arange(8000)) * 16384).astype("<i2").tobytes())
+    (tmp_path / "bad.wav").write_bytes(b"no audio")
+    files = audio.wav_files(spark, str(tmp_path))
+    got = {r.path.rsplit("/", 1)[1]: (r.sample_rate, r.duration, r.error is None) for r in audio.probe(files).collect()}
+    assert got == {"a.wav": (8000, 1.0, True), "bad.wav": (None, None, False)}
+    m = {r.path.rsplit("/", 1)[1]: r.m for r in audio.samples(files).select("path", signal.level_metrics(F.col("samples")).alias("m")).collect()}
+    assert abs(m["a.wav"].peak_dbfs + 6.02) < 0.02 and abs(m["a.wav"].rms_dbfs + 9.03) < 0.02 and m["bad.wav"] is None
