@@ -57,7 +57,7 @@ UNFILLED = re.compile(
     r"^buraya\b.{0,60}\b(gelecek|gelecektir|eklenecek|eklenecektir|yazilacak|yaziniz|girilecek)\b|\b(aciklama|metin|baslik|icerik|ozet|tanitim|bilgi|ad|adi|gorsel)\w* (eklenecek|eklenecektir|girilecek|yazilacak|gelecek|doldurulacak)\b|"
     r"^bu (alan|bolum|kisim|metin)\w* (doldurulacak|doldurulacaktir|daha sonra doldurulacak|yer tutucu|degistirin|bos birakil)\w*|\bornek (paragraf|metin|yazi|icerik|baslik)\b.{0,60}\b(degistir|sil)\w*|yer tutucu (metin|metni|yazi)|"
     r"\byour (description|text|title|content|name|message) (goes )?here\b|\b(insert|add|enter) (your )?(text|title|description|name|content) here\b|\(\s*(todo|tbd|fixme)\s*\)|^(todo|tbd|fixme)\s*[:.!]?\s*$|^(todo|fixme)\s*:|this is (a )?(placeholder|sample|dummy) (text|paragraph)|\bplaceholder text\b|coming soon\W*$|"
-    r"^(click|tap) (here )?to (add|edit) (text|title)"
+    r"^(click|tap) (here )?to (add|edit) (text|title)|\b(icerik|icerigi|metin|metni|aciklama|aciklamasi|ozet|ozeti|baslik|basligi|tanitim|tanitimi) henuz (girilmedi|girilmemis\w*|eklenmedi|eklenmemis\w*|yazilmadi|yazilmamis\w*|hazir degil|hazirlanmadi)\b|^(content|description|text) (not yet available|to be added|to follow|pending)\b"
 )
 CODE = r"(?:40[0-9]|41[0-9]|42[0-9]|451|50[0-9]|511|52[0-9]|0)"
 NAMES = r"(?:bad request|unauthorized|forbidden|not found|method not allowed|request timeout|request time-?out|gone|too many requests|internal server error|not implemented|bad gateway|service unavailable|gateway time-?out|service temporarily unavailable)"
@@ -103,7 +103,7 @@ DUMMY = frozenset("deneme test testing asdf asd qwer qwerty zxcv jkl xxx blah fo
 SIGNS = re.compile(r"[{}$#@«_<]|%[a-z(]|\(\(|\[[\[a-z]")
 # What any sentence with evidence holds, unless it has one of the signs above; found by one automaton in one pass.
 HINTS = (
-    "undefined|nan|null|todo|tbd|fixme|buraya|eklenecek|doldur|bos birakil|yer tutucu|degistir|your |here|insert|placeholder|lorem|ipsum|dolor|amet|nibh|vero|quidem|deneme|test|asdf|qwer|xxx|metin|blah|dummy|foo|javascript|java script|js |betik|script|cerez|cookie|not found|forbidden|gateway|unavailable|unauthorized|bad request|"
+    "henuz|taslak|to be added|pending|undefined|nan|null|todo|tbd|fixme|buraya|eklenecek|doldur|bos birakil|yer tutucu|degistir|your |here|insert|placeholder|lorem|ipsum|dolor|amet|nibh|vero|quidem|deneme|test|asdf|qwer|xxx|metin|blah|dummy|foo|javascript|java script|js |betik|script|cerez|cookie|not found|forbidden|gateway|unavailable|unauthorized|bad request|"
     "too many|internal server|nginx|apache|cloudflare|varnish|denied|permission|access|sorry|went wrong|error|exception|traceback|uncaught|warning|notice|on line|fault|dumped|timed out|expired|refused|maintenance|robot|human|available|try again|checking|bulunam|kullanilam|goruntulen|goruntuleme|calismiyor|mevcut degil|kaldiril|silin|"
     "tasinmis|erisim|yetki|sunucu|baglanti|zaman asimi|ters gitti|yanlis gitti|hata|sorun|ariza|deneyin|oturum|cok fazla|bakim|yapim asama|guncelleniyor|yukle|oynat|yenileyin|tarayici|navigateur|introuvable|acces|erreur|fehler|gefunden|aktivieren|verweigert|encontrada|trovata|denegado|habilit|active|request|ref|olay no|islem no|incident|"
     "ray id|trace id|kisa sure|kapali|hizmet dis|tekrar|ana sayfa|anasayfa|loading|coming soon|yonetici|veri taban|veritaban|gecersiz|http|turn it on|click|tap|no longer|removed|down|server|geri don|yayinda degil"
@@ -114,16 +114,27 @@ SENTENCE = re.compile(r"(?<=[.!?…;])\s+")
 SPACES = re.compile(r"\s+")
 
 
+def longest(ws: list[str], like) -> list[str]:  # noqa: ANN001
+    """The longest run of words for which ``like`` holds."""
+    best: list[str] = []
+    run: list[str] = []
+    for w in ws:
+        run = [*run, w] if like(w) else []
+        if len(run) > len(best):
+            best = run
+    return best
+
+
 def filler(ws: list[str]) -> bool:
-    """Dummy Latin, key mashing or one dummy word over and over."""
-    if len(ws) < 3:
-        return False
-    if len(ws) >= 4 and sum(w in LATIN for w in ws) >= 0.7 * len(ws) or {"lorem", "ipsum"} <= set(ws) and sum(w in LATIN for w in ws) >= 0.5 * len(ws):
-        return True
+    """Dummy Latin, key mashing or dummy words over and over, alone or before other text."""
     real = [w for w in ws if not w.isdigit()]
-    if len(real) >= 3 and all(set(w) == {"x"} for w in real):
+    if len(real) < 3:
+        return False
+    latin = sum(w in LATIN for w in real)
+    if len(real) >= 4 and latin >= 0.7 * len(real) or {"lorem", "ipsum"} <= set(real) and latin >= 0.5 * len(real) or latin >= 6 and len(longest(real, LATIN.__contains__)) >= 6:
         return True
-    return len(real) >= 4 and len(set(real)) <= 4 and sum(w in DUMMY for w in real) >= 0.9 * len(real)
+    mashed = longest(real, lambda w: w in DUMMY or set(w) == {"x"})
+    return len(mashed) >= 3 and (len(set(mashed)) < len(mashed) or all(set(w) == {"x"} for w in mashed))
 
 
 def told(s: str, m: re.Match) -> bool:

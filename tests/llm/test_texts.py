@@ -90,12 +90,12 @@ CASES = [
     "Merhaba {{ad}}, dizimize hoş geldiniz.", "Seslendiren: %s", "Bölüm ${bolum_no} – deniz", "Yayın tarihi: undefined · süre: undefined", "[KİTAP ADI BURAYA] adlı kitabın ilk bölümü.", "<buraya okuyanın adı>, Arşivden", "Bölüm {0} – ata",
     "Lorem ipsum dolor sit amet, consectetur adipiscing elit.", "deneme deneme 1 deneme deneme", "xxx xxxx xx xxxxx", "404 Not Found\nnginx", "HTTP Error 503. Service Unavailable.", "Bu sayfayı görüntülemek için JavaScript'i etkinleştirin.",
     "BU SAYFAYI GÖRÜNTÜLEMEK İÇİN JAVASCRİPT'İ ETKİNLEŞTİRİN.", "Bir şeyler ters gitti. Olay no: 29086fe2c2", "Site bakımda, kısa süre sonra buradayız.", "Please enable JavaScript to continue using this application.", "Fatal error: Uncaught TypeError in render.php on line 349",
-    "Açıklama eklenecek (TODO)", "Your description goes here.", "Erişim engellendi. Bu sayfayı görüntüleme yetkiniz yok.", "Deniz sakindi.\nAradığınız sayfa bulunamadı veya taşınmış olabilir.\nKuşlar uçtu.", "nginx", "Olay no: 0a1b2c",
+    "Açıklama eklenecek (TODO)", "Taslak – deniz içeriği henüz girilmedi.", "asdf qwer asdf zxcv asdf qwer kuşlar bugün denizin üstünde uçtu.", "deneme deneme 1 deneme", "Your description goes here.", "Erişim engellendi. Bu sayfayı görüntüleme yetkiniz yok.", "Deniz sakindi.\nAradığınız sayfa bulunamadı veya taşınmış olabilir.\nKuşlar uçtu.", "nginx", "Olay no: 0a1b2c",
 ]
 PROSE = [
     "Derste Lumkit şablondaki {{ad}} işaretinin ne işe yaradığını uzun uzun açıkladı.", "Programcı Bıklün ekranda 'undefined' yazısını görünce kahkahayı bastı.", "Kitapta sayfa bulunamadı diye üzülen Bünrök, nar ile teselli oldu.", "Bekçi Pombaz, erişim engellendi diye kapıya tabela astı.",
     "Matematikte {1, 2, 3} bir kümedir, dedi Ramle.", "Dizideki x[0] ile x[1] yer değiştirince program parladı.", "Fiyatı $5 olan düş için %30 indirim istedi.", "[gülüşmeler] Selrur gülüyor {alkışlar} ve öğretmen yeniden başlıyor.", "00:05:48 Serin ceviz gümüşlü bir merdivene söyledi.",
-    "Zuzyi, lorem ipsum denen dolgu yazısının matbaacı çıraklarından kaldığını anlattı.", "JavaScript öğrenmek isteyen Bamnus önce anne çizmeyi denedi.", "TODO defterini kaybeden Yilgın bütün gün el aradı.", "%35 oranında yükseldi.", "", "   ", None, "[müzik]", "<3 işaretini mektubun sonuna koyan Bıklin, avlu çizdi.",
+    "Zuzyi, lorem ipsum denen dolgu yazısının matbaacı çıraklarından kaldığını anlattı.", "JavaScript öğrenmek isteyen Bamnus önce anne çizmeyi denedi.", "TODO defterini kaybeden Yilgın bütün gün el aradı.", "%35 oranında yükseldi.", "Deneme, deneme, bir iki üç dedi ve güldü.", "Yazar metni henüz okumadı.", "", "   ", None, "[müzik]", "<3 işaretini mektubun sonuna koyan Bıklin, avlu çizdi.",
     "Ramle 404 numaralı odanın kapısında durup altın aradı, oda bulunamadı diye fısıldadı.", "Bölüm 500'de Vizruk sunucu gibi sessizce yemek dağıttı; hata yapmadı.", LONG,
 ]
 
