@@ -58,3 +58,20 @@ def figures(df: DataFrame, expected: dict[str, tuple[Column, float, float]]) ->
     one = df.agg(*[c.cast("double").alias(f"f{i}") for i, (c, _, _) in enumerate(expected.values())])
     rows = [F.struct(F.lit(k).alias("figure"), F.lit(float(v)).alias("expected"), F.col(f"f{i}").alias("found"), F.coalesce(F.abs(F.col(f"f{i}") - v) <= tol, F.lit(False)).alias("ok")) for i, (k, (_, v, tol)) in enumerate(expected.items())]
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def parse_number(cell: str) -> float | None:
+    """A number of a table cell: thousands by comma, percent and unit signs ignored; None where there is none."""
+    import re
+
+    m = re.search(r"-?\d[\d,]*(?:\.\d+)?", cell)
+    return float(m[0].replace(",", "")) if m else None
+
+
+def table_rows(markdown: str, heading: str, until: str | None = None) -> list[list[str]]:
+    """Cells of the table rows between two headings of a text."""
+    lines = markdown.splitlines()
+    start = next((i + 1 for i, x in enumerate(lines) if x.lstrip("# ").strip() == heading), len(lines))
+    end = next((i for i in range(start, len(lines)) if lines[i].startswith("#") and (until is None or lines[i].lstrip("# ").strip() == until)), len(lines))
+    rows = [[c.strip() for c in x.strip().strip("|").split("|")] for x in lines[start:end] if x.strip().startswith("|")]
+    return [r for r in rows if not all(set(c) <= {"-", ":"} for c in r)]

@@ -99,3 +99,9 @@ def human_size(n: Column) -> Column:
     """Bytes as text with a unit."""
     out = F.format_string("%.1f GB", n / 1e9)
     return F.when(n < 1000, F.format_string("%d B", n.cast("long"))).when(n < 1e6, F.format_string("%.1f kB", n / 1e3)).when(n < 1e9, F.format_string("%.1f MB", n / 1e6)).otherwise(out)
+
+
+def clock(seconds: Column) -> Column:
+    """Seconds as h:mm:ss."""
+    s = F.round(seconds).cast("long")
+    return F.format_string("%d:%02d:%02d", F.floor(s / 3600), F.floor(s / 60) % 60, s % 60)

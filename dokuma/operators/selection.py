@@ -68,3 +68,9 @@ def strided(df: DataFrame, order: list[str], step: int) -> DataFrame:
 def risk_first(df: DataFrame, risky: Column, seed: str, n: int, id_col: str = "id") -> DataFrame:
     """n rows, risky ones first, each part in hash order."""
     return df.orderBy(F.coalesce(risky, F.lit(False)).desc(), hash_order(seed, F.col(id_col)), id_col).limit(n)
+
+
+def sample_channels(sources: DataFrame, n_channels: int, per_channel: int, seed: str) -> DataFrame:
+    """At most ``per_channel`` recordings of ``n_channels`` channels, both in seeded hash order."""
+    chosen = sources.select("channel").filter("channel is not null").distinct().orderBy(hash_order(seed, F.col("channel")), "channel").limit(n_channels)
+    return first_n(sources.join(F.broadcast(chosen), "channel", "left_semi"), "channel", seed, per_channel)

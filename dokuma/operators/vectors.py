@@ -78,3 +78,20 @@ def cluster(centers: DataFrame, key: str, threshold: float, most: int = 5_000) -
         return pa.table({key: pa.array([r[key] for r in rows], t.schema.field(key).type), "cluster": pa.array(labels, pa.int64())})
 
     return centers.select(key, "center", F.lit(1).alias("_all")).groupBy("_all").applyInArrow(run, f"{key} {kind}, cluster long")
+
+
+def pair_extremes(df: DataFrame, group: str, vector: str, key: str, seed: str, most: int = 12) -> DataFrame:
+    """(group, n, mean, least) cosine over all pairs of the first ``most`` vectors of each group in hash order: the bound is the operator's own (few clips stand for a
+    recording), so a group holds at most ``most`` vectors. Groups below two vectors have null."""
+    from .selection import first_n
+
+    few = first_n(df.filter(F.col(vector).isNotNull()), group, seed, most, key)
+    kind = dict(df.dtypes)[group]
+
+    def run(t: pa.Table) -> pa.Table:
+        x = np.array(t.column(vector).to_pylist(), float)
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+        s = (x @ x.T)[np.triu_indices(len(x), 1)]
+        return pa.table({group: t.column(group).slice(0, 1), "n": [len(x)], "mean": pa.array([float(s.mean()) if len(s) else None], pa.float64()), "least": pa.array([float(s.min()) if len(s) else None], pa.float64())})
+
+    return few.select(group, vector).groupBy(group).applyInArrow(run, f"{group} {kind}, n long, mean double, least double")

@@ -79,3 +79,7 @@ def test_wav_files(spark, tmp_path):
     assert got == {"a.wav": (8000, 1.0, True), "bad.wav": (None, None, False)}
     m = {r.path.rsplit("/", 1)[1]: r.m for r in audio.samples(files).select("path", signal.level_metrics(F.col("samples")).alias("m")).collect()}
     assert abs(m["a.wav"].peak_dbfs + 6.02) < 0.02 and abs(m["a.wav"].rms_dbfs + 9.03) < 0.02 and m["bad.wav"] is None
+    where = files.filter("path like '%a.wav'").select("path").first().path
+    clips = spark.createDataFrame([("x", where, 0.25, 0.75), ("y", where, 0.9, 9.0), ("z", where.replace("a.wav", "bad.wav"), 0.0, 1.0)], "id string, path string, start double, end double")
+    cuts = audio.cut(files, clips)
+    assert {r.path: r.duration for r in audio.probe(cuts.select(F.col("id").alias("path"), "content")).collect()} == {"x": 0.5, "y": 0.1}

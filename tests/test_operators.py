@@ -269,3 +269,19 @@ def test_config_versions():
     with pytest.raises(ValueError):
         config.stage_version(config.Config({}), {"a": {"revision": 1, "depends_on": ["a"]}}, "a")
     assert config.Config({"asr": {"x": {"y": 3}}}).get("asr.x.y") == 3 and config.Config({}).get("asr.q", 7) == 7
+
+
+def test_small_helpers(spark):
+    text = "# Card\n## Sizes\n| what | n |\n|---|---|\n| clips | 1,840,404 |\n| share | 84.1 % |\n## End\n| x | 1 |"
+    rows_ = quality.table_rows(text, "Sizes")
+    assert [quality.parse_number(r[1]) for r in rows_[1:]] == [1840404.0, 84.1] and quality.parse_number("none") is None
+    from dokuma.operators import report
+
+    one = spark.range(1).select(report.clock(F.lit(3723.4)).alias("c"), report.human_size(F.lit(2_500_000)).alias("s")).first()
+    assert (one.c, one.s) == ("1:02:03", "2.5 MB")
+    src = spark.createDataFrame([(i, f"k{i % 5}") for i in range(50)], "id int, channel string")
+    got = selection.sample_channels(src, 2, 3, "s")
+    assert got.count() == 6 and got.select("channel").distinct().count() == 2
+    v = spark.createDataFrame([(0, "a", [1.0, 0.0]), (1, "a", [0.0, 1.0]), (2, "a", [1.0, 1.0]), (3, "b", [1.0, 0.0]), (4, "b", None)], "id int, g string, v array<double>")
+    ext = {r.g: (r.n, r.least) for r in vectors.pair_extremes(v, "g", "v", "id", "s").collect()}
+    assert ext["a"][0] == 3 and abs(ext["a"][1]) < 1e-9 and ext["b"] == (1, None)
