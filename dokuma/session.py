@@ -48,6 +48,13 @@ def materialize(df: DataFrame, what: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Drop all tables written so far by ``materialize`` in this application; DataFrames that read them end here. For sessions that go on for long."""
+    base = f"{shared_dir(spark)}/dokuma-{spark.sparkContext.applicationId}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """A scan (with at most projections and filters) that would run in fewer tasks than there are cores - a small file - dealt out to all of them. Larger inputs,
     which are split by size, stay as they are and move no data."""
