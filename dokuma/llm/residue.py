@@ -100,13 +100,14 @@ LATIN = frozenset(
     "neque nisl odio orci ornare pharetra placerat porttitor dapibus diam dignissim dui efficitur egestas eleifend elementum erat eros euismod facilisis faucibus fermentum feugiat finibus accumsan aliquam ante arcu auctor bibendum blandit condimentum congue convallis cras cursus".split()
 )
 DUMMY = frozenset("deneme test testing asdf asd qwer qwerty zxcv jkl xxx blah foo bar baz metin baslik ornek yazi icerik paragraf dummy sample text title aaa bla".split())
-SIGNS = re.compile(r"[{}$#@«_<]|%[a-z(]|\(\(|\[[\[a-z]")
+SIGNS = re.compile(r"[{}$#@_<]|«\s*[….]|%[a-z(]|\(\(|\[\[|\[(?!gulus|sessiz|muzik|alkis|nefes)[a-z]|\bnan\b|\b[45]\d\d\b")
 # What any sentence with evidence holds, unless it has one of the signs above; found by one automaton in one pass.
 HINTS = (
-    "henuz|taslak|to be added|pending|undefined|nan|null|todo|tbd|fixme|buraya|eklenecek|doldur|bos birakil|yer tutucu|degistir|your |here|insert|placeholder|lorem|ipsum|dolor|amet|nibh|vero|quidem|deneme|test|asdf|qwer|xxx|metin|blah|dummy|foo|javascript|java script|js |betik|script|cerez|cookie|not found|forbidden|gateway|unavailable|unauthorized|bad request|"
-    "too many|internal server|nginx|apache|cloudflare|varnish|denied|permission|access|sorry|went wrong|error|exception|traceback|uncaught|warning|notice|on line|fault|dumped|timed out|expired|refused|maintenance|robot|human|available|try again|checking|bulunam|kullanilam|goruntulen|goruntuleme|calismiyor|mevcut degil|kaldiril|silin|"
-    "tasinmis|erisim|yetki|sunucu|baglanti|zaman asimi|ters gitti|yanlis gitti|hata|sorun|ariza|deneyin|oturum|cok fazla|bakim|yapim asama|guncelleniyor|yukle|oynat|yenileyin|tarayici|navigateur|introuvable|acces|erreur|fehler|gefunden|aktivieren|verweigert|encontrada|trovata|denegado|habilit|active|request|ref|olay no|islem no|incident|"
-    "ray id|trace id|kisa sure|kapali|hizmet dis|tekrar|ana sayfa|anasayfa|loading|coming soon|yonetici|veri taban|veritaban|gecersiz|http|turn it on|click|tap|no longer|removed|down|server|geri don|yayinda degil"
+    "henuz girilme|henuz eklenme|henuz yazilma|henuz hazir|to be added|not yet available|to follow|pending|undefined|null|todo|tbd|fixme|buraya|eklenecek|doldurul|girilecek|yazilacak|gelecek|bos birakil|yer tutucu|degistir|your | here|insert|placeholder|sample text|dummy|lorem|ipsum|dolor| amet|amet,|nibh|quidem|vero |"
+    "augue|sodales|consec|vitae|deneme deneme|deneme, deneme|test test|testing|asdf|qwer|xxx|metin metin|baslik baslik|yazi yazi|ornek |blah|foo bar|javascript|java script|js |betik|script|cerez|cookie|not found|forbidden|gateway|unavailable|unauthorized|bad request|too many|internal server|nginx|apache|cloudflare|varnish|denied|permission|"
+    "access|sorry|went wrong|error|exception|traceback|uncaught|warning|notice|on line|fault|dumped|timed out|expired|refused|maintenance|robot|human|available|try again|checking|verify|bulunama|bulunami|kullanilam|goruntulen|goruntuleme|calismiyor|mevcut degil|kaldiril|silinmis|silindi|tasinmis|erisim|erisil|yetki|sunucu|baglanti|zaman asimi|"
+    "ters gitti|yanlis gitti|hata |hata:|sorun olustu|sorun meydana|sorun yasan|ariza|deneyin|oturum|cok fazla|bakim|yapim asama|guncelleniyor|yuklen|baslatilam|oynat|yenileyin|tarayici|navigateur|introuvable|acces|erreur|fehler|gefunden|aktivieren|verweigert|encontrada|trovata|denegado|habilit|activ|request|ref |ref:|reference|olay no|"
+    "islem no|hata no|incident|ray id|trace id|event id|kisa sure|site |sitemiz|sistem|hizmet dis|tekrar den|yeniden |ana sayfa|anasayfa|loading|coming soon|yonetici|veri taban|veritaban|gecersiz|hatali|http|turn it on|click|tap here|tap to|no longer|removed|is down|currently down|temporarily|geri don|yayinda degil|acilam|dogrula"
 ).split("|")
 LEAD = re.compile(r"^(?:[\s>»⚠*•·#=~|:\-–—]+|\[x\]|\[\s*[!x]\s*\]|\(?\d{1,2}:\d{2}(?::\d{2})?\)?)+\s*")
 TAIL = re.compile(r"\s*[\(\[](?:\d{1,2}:\d{2}(?::\d{2})?|\d{1,2}\.\d{1,2}\.\d{4}|[\s,;/-])+[\)\]]\s*$")
@@ -128,7 +129,7 @@ def longest(ws: list[str], like) -> list[str]:  # noqa: ANN001
 def filler(ws: list[str]) -> bool:
     """Dummy Latin, key mashing or dummy words over and over, alone or before other text."""
     real = [w for w in ws if not w.isdigit()]
-    if len(real) < 3:
+    if len(real) < 3 or all(w not in LATIN and w not in DUMMY and w[0] != "x" for w in real):
         return False
     latin = sum(w in LATIN for w in real)
     if len(real) >= 4 and latin >= 0.7 * len(real) or {"lorem", "ipsum"} <= set(real) and latin >= 0.5 * len(real) or latin >= 6 and len(longest(real, LATIN.__contains__)) >= 6:
