@@ -77,5 +77,5 @@ def assign(records: DataFrame, left: str, right: str, weight: str, shares: dict[
     sums = sums.withColumn("item", item)
     dealt = deal([(r.item, r.w or 0) for r in sums.groupBy("item").agg(F.sum("w").alias("w")).collect()], shares)  # SINGLE + BUNDLES rows at most
     table = spark.createDataFrame(list(dealt.items()) or [("", "")], "item string, split string")
-    splits = sums.join(F.broadcast(table), "item").select("group_id", "split", "_n")  # SINGLE + BUNDLES rows at most
+    splits = sums.join(table, "item").select("group_id", "split", "_n")
     return hot_split_join(grouped, materialize(splits, "dealt"), ["group_id"], "_n")
