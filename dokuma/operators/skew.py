@@ -54,3 +54,20 @@ def ranked(df: DataFrame, groups: list[str], order: list[Column], rank: str = "r
         same = same & F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.`{c}`"))
     out = kept.withColumn(here, F.row_number().over(local)).alias("l").join(offsets.alias("r"), same)
     return out.select(*[F.col(f"l.`{c}`") for c in df.columns], (F.col(here) + F.col(before_)).cast("long").alias(rank))
+
+
+def running_before(df: DataFrame, groups: list[str], order: list[Column], amount: Column, name: str) -> DataFrame:
+    """Adds the sum of ``amount`` over the rows before each row of its group in ``order`` (0 for the first), as a double. Like ``ranked``, it is made of local windows over
+    range partitions plus the sums of the partitions before."""
+    part, value, here, total, before_ = fresh(df, "_part", "_amount", "_local", "_sum", "_before")
+    keys = [F.col(c).asc_nulls_first() for c in groups]
+    kept = materialize(df.withColumn(value, F.coalesce(amount.cast("double"), F.lit(0.0))).repartitionByRange(*keys, *order).withColumn(part, F.spark_partition_id()), "running")
+    local = Window.partitionBy(part, *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    sums = kept.groupBy(part, *groups).agg(F.sum(value).alias(total))
+    before = Window.partitionBy(*groups, F.lit(0)).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # a row per partition of the group
+    offsets = sums.withColumn(before_, F.coalesce(F.sum(total).over(before), F.lit(0.0))).drop(total)
+    same = F.col(f"l.{part}") == F.col(f"r.{part}")
+    for c in groups:
+        same = same & F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.`{c}`"))
+    out = kept.withColumn(here, F.coalesce(F.sum(value).over(local), F.lit(0.0))).alias("l").join(offsets.alias("r"), same)
+    return out.select(*[F.col(f"l.`{c}`") for c in df.columns], (F.col(here) + F.col(before_)).alias(name))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .skew import fresh, running_before
+
 
 def hash_order(seed: str, *parts: Column) -> Column:
     """Seeded order: the hex SHA-256 of seed and parts, joined by colons."""
@@ -58,13 +60,15 @@ def text_leakage(clips: DataFrame, key: str, split: str = "split") -> DataFrame:
 
 
 def quota_trim(clips: DataFrame, quotas: dict[str, float], seed: str) -> DataFrame:
-    """Clips of the quota splits that are kept: per split and channel in hash order while the hours before are below the quota. The one that crosses is kept."""
-    w = Window.partitionBy("split", "channel").orderBy(hash_order(seed, F.col("channel"), F.col("id")), "id").rowsBetween(Window.unboundedPreceding, -1)
+    """Clips of the quota splits that are kept: per split and channel in hash order while the hours before are below the quota. The one that crosses is kept. Null
+    durations count as 0."""
     quota = F.lit(None).cast("double")
     for k, v in quotas.items():
         quota = F.when(F.col("split") == k, F.lit(float(v))).otherwise(quota)
-    before = F.coalesce(F.sum(F.col("duration") / 3600).over(w), F.lit(0.0))
-    return clips.filter(F.col("split").isin(*quotas)).withColumn("_before", before).filter(F.col("_before") < quota).drop("_before")
+    order, before = fresh(clips, "_order", "_hours")
+    own = clips.filter(F.col("split").isin(*quotas)).withColumn(order, hash_order(seed, F.col("channel"), F.col("id")))
+    run = running_before(own, ["split", "channel"], [F.asc(order), F.asc("id")], F.col("duration") / 3600, before)
+    return run.filter(F.col(before) < quota).select(*clips.columns)
 
 
 def rest(all_: DataFrame, used: DataFrame, key: str = "id") -> DataFrame:

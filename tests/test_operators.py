@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dokuma import config, providers, schema
 from dokuma.operators import boilerplate, boundaries, browse, compare, dedupe, ledger, policy, quality, segment, selection, split, stats, vectors
-from dokuma.operators.skew import hot_split_join, ranked
+from dokuma.operators.skew import hot_split_join, ranked, running_before
 
 
 def rows(df):
@@ -27,6 +27,18 @@ def test_ranked_with_ties_nulls_and_clashing_names(spark):
     assert ranked(df.limit(0), ["_part"], [F.asc("v")]).count() == 0
 
 
+def test_running_sums(spark):
+    r = random.Random(2)
+    data = [(r.choice(["a", None]), i, r.choice([1.0, 0.25, None])) for i in range(300)]
+    df = spark.createDataFrame(data, "g string, i int, v double")
+    got = {x.i: x.s for x in running_before(df, ["g"], [F.asc("i")], F.col("v"), "s").collect()}
+    for g in ("a", None):
+        total = 0.0
+        for x in (x for x in data if x[0] == g):
+            assert got[x[1]] == total
+            total += x[2] or 0.0
+
+
 def test_hot_join(spark):
     left = spark.range(9000).select(F.when(F.col("id") < 4000, 0).otherwise(F.col("id") % 100).alias("k"), "id")
     right = left.groupBy("k").agg(F.count("*").alias("w"), F.max("id").alias("m")).filter("k < 50")
