@@ -24,6 +24,7 @@ from ..functions.text import DIGITS, WORD, channel_names
 from ..operators.skew import hot_split_join
 from ..session import materialize, spread
 from .folding import fold
+from .gate import literals
 
 RECURS = 20
 STRONG, WEAK, NONE = 2, 1, 0
@@ -100,15 +101,13 @@ LATIN = frozenset(
     "neque nisl odio orci ornare pharetra placerat porttitor dapibus diam dignissim dui efficitur egestas eleifend elementum erat eros euismod facilisis faucibus fermentum feugiat finibus accumsan aliquam ante arcu auctor bibendum blandit condimentum congue convallis cras cursus".split()
 )
 DUMMY = frozenset("deneme test testing asdf asd qwer qwerty zxcv jkl xxx blah foo bar baz metin baslik ornek yazi icerik paragraf dummy sample text title aaa bla".split())
-SIGNS = re.compile(r"[{}$#@_<]|«\s*[….]|%[a-z(]|\(\(|\[\[|\[(?!gulus|sessiz|muzik|alkis|nefes)[a-z]|\bnan\b|\b[45]\d\d\b")
-# What any sentence with evidence holds, unless it has one of the signs above; found by one automaton in one pass.
-HINTS = (
-    "henuz girilme|henuz eklenme|henuz yazilma|henuz hazir|to be added|not yet available|to follow|pending|undefined|null|todo|tbd|fixme|buraya|eklenecek|doldurul|girilecek|yazilacak|gelecek|bos birakil|yer tutucu|degistir|your | here|insert|placeholder|sample text|dummy|lorem|ipsum|dolor| amet|amet,|nibh|quidem|vero |"
-    "augue|sodales|consec|vitae|deneme deneme|deneme, deneme|test test|testing|asdf|qwer|xxx|metin metin|baslik baslik|yazi yazi|ornek |blah|foo bar|javascript|java script|js |betik|script|cerez|cookie|not found|forbidden|gateway|unavailable|unauthorized|bad request|too many|internal server|nginx|apache|cloudflare|varnish|denied|permission|"
-    "access|sorry|went wrong|error|exception|traceback|uncaught|warning|notice|on line|fault|dumped|timed out|expired|refused|maintenance|robot|human|available|try again|checking|verify|bulunama|bulunami|kullanilam|goruntulen|goruntuleme|calismiyor|mevcut degil|kaldiril|silinmis|silindi|tasinmis|erisim|erisil|yetki|sunucu|baglanti|zaman asimi|"
-    "ters gitti|yanlis gitti|hata |hata:|sorun olustu|sorun meydana|sorun yasan|ariza|deneyin|oturum|cok fazla|bakim|yapim asama|guncelleniyor|yuklen|baslatilam|oynat|yenileyin|tarayici|navigateur|introuvable|acces|erreur|fehler|gefunden|aktivieren|verweigert|encontrada|trovata|denegado|habilit|activ|request|ref |ref:|reference|olay no|"
-    "islem no|hata no|incident|ray id|trace id|event id|kisa sure|site |sitemiz|sistem|hizmet dis|tekrar den|yeniden |ana sayfa|anasayfa|loading|coming soon|yonetici|veri taban|veritaban|gecersiz|hatali|http|turn it on|click|tap here|tap to|no longer|removed|is down|currently down|temporarily|geri don|yayinda degil|acilam|dogrula"
-).split("|")
+PATTERNS = (SLOT, ASKING, BRACE, ANGLE, BARE, UNFILLED, MESSAGE, NOTICE, FRAGMENT)
+# Literals of the patterns that prose is full of, by what the patterns ask for around them: status codes, a word of its own (a time that LEAD cuts off may stand before it), a name or bracket.
+NARROWED = {"4": r"4\d\d", "5": r"5\d\d", "nan": r"(?<![^\W\d])nan(?!\w)", "%": r"%[a-z_(]"}
+SIGNS = re.compile("|".join(NARROWED.values()))
+# What any sentence with evidence holds, unless it has a sign or words of filler: found by one automaton in one pass.
+HINTS = sorted(frozenset().union({"lorem"}, *map(literals, PATTERNS)) - NARROWED.keys())
+FILL = LATIN | DUMMY
 LEAD = re.compile(r"^(?:[\s>»⚠*•·#=~|:\-–—]+|\[x\]|\[\s*[!x]\s*\]|\(?\d{1,2}:\d{2}(?::\d{2})?\)?)+\s*")
 TAIL = re.compile(r"\s*[\(\[](?:\d{1,2}:\d{2}(?::\d{2})?|\d{1,2}\.\d{1,2}\.\d{4}|[\s,;/-])+[\)\]]\s*$")
 SENTENCE = re.compile(r"(?<=[.!?…;])\s+")
@@ -138,6 +137,12 @@ def filler(ws: list[str]) -> bool:
     return len(mashed) >= 3 and (len(set(mashed)) < len(mashed) or all(set(w) == {"x"} for w in mashed))
 
 
+def fill(s: str) -> bool:
+    """Two words of filler at least, without which ``filler`` holds for no sentence of ``s``: it asks for three (``LEAD`` may cut one free), or for lorem, a hint."""
+    ws = WORD.findall(s)
+    return not ("x" not in s and FILL.isdisjoint(ws)) and sum(w in FILL or not w.strip("x") for w in ws) >= 2
+
+
 def told(s: str, m: re.Match) -> bool:
     """Whether the text around a slot talks about it."""
     return bool(NEAR.search(s[max(0, m.start() - 40) : m.start()]) or AFTER.match(s[m.end() : m.end() + 45]))
@@ -174,7 +179,7 @@ def judge(sentence: str) -> int:
 
 
 class Judge:
-    """Evidence of lines; sentences without any sign or hint are passed over."""
+    """Evidence of lines; sentences without any sign, hint or filler, which can't have evidence, are passed over."""
 
     def __init__(self) -> None:
         import ahocorasick
@@ -185,7 +190,7 @@ class Judge:
         self.hints.make_automaton()
 
     def hinted(self, s: str) -> bool:
-        return next(self.hints.iter(s), None) is not None or SIGNS.search(s) is not None
+        return next(self.hints.iter(s), None) is not None or SIGNS.search(s) is not None or fill(s)
 
     def line(self, line: str) -> int:
         """Strong if any sentence is, weak if all are at least weak."""
