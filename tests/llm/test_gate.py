@@ -81,3 +81,20 @@ def test_literals():
     assert gate.literals(re.compile(r"x?[ab]c*d{2,}|ee+")) == {"d", "e"}
     with pytest.raises(ValueError):
         gate.literals(re.compile(r"kapi|\d+"))
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "sayfamiz kapalidir, anlayisiniz icin hepinize tesekkur ederiz.",
+        "server could not find what it was looking for at this time",
+        "deneme yazi deneme yazi deneme yazi ve bugun hava guzel",
+        "deneme. deneme. deneme. deneme. deneme. deneme. deneme.",
+        "deneme metin deneme metin deneme metin deneme metin",
+    ],
+)
+def test_hints_cover_what_was_narrowed(line):
+    """Long lines that the hints once let through, and then no more, are judged as without a gate."""
+    assert len(line) >= 40 and residue.Judge().hinted(line)
+    parts = [residue.judge(x) for x in residue.SENTENCE.split(line)]
+    assert (residue.STRONG in parts or residue.judge(line) == residue.STRONG) == (residue.Judge().line(line) == residue.STRONG) is True
