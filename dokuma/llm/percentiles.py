@@ -47,9 +47,10 @@ def value_of(k):  # noqa: ANN001, ANN202
     return pd.Series(from_order(k.to_numpy()))
 
 
-def clip_values(clips: DataFrame) -> DataFrame:
-    """(channel, metric, v, n): how often each number occurs, over ``duration`` and all finite numbers of whole ``metrics_json`` objects, texts with
-    decimal point or comma included; each clip id once; clips without channel take no part."""
+def clip_values(clips: DataFrame, by_file: bool = False) -> DataFrame:
+    """(channel, metric, v, n), with ``by_file`` (file, channel, metric, v, n): how often each number occurs, over ``duration`` and all finite numbers of whole ``metrics_json`` objects, texts with
+    decimal point or comma included; each clip id once; clips without channel take no part. ``clips`` is a scan if its files are asked for; an id that several files hold
+    counts in one of them."""
     import json
     import math
 
@@ -66,9 +67,12 @@ def clip_values(clips: DataFrame) -> DataFrame:
             channels = channel_names(b.column(1)).dictionary_encode()
             codes = channels.indices.to_pylist()
             names, of, at, vs = [], {}, [], []
-            for c, d, m in zip(codes, b.column(2).to_pylist(), b.column(3).to_pylist()):
+            files = b.column(4).dictionary_encode()
+            place: dict[tuple[int, int], int] = {}
+            for c, d, m, f in zip(codes, b.column(2).to_pylist(), b.column(3).to_pylist(), files.indices.to_pylist()):
                 if c is None:
                     continue
+                c = place.setdefault((c, f), len(place))
                 try:
                     o = json.loads(m) if m else {}
                 except (ValueError, RecursionError):
@@ -94,10 +98,12 @@ def clip_values(clips: DataFrame) -> DataFrame:
             first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
             n = np.diff(np.append(first, len(pair)))
             g = pair["g"][first]
-            yield pa.RecordBatch.from_arrays([channels.dictionary.take(pa.array(g >> 32)), pa.array(names, pa.string()).take(pa.array(g & 0xFFFFFFFF)), pa.array(pair["v"][first]), pa.array(n)], ["channel", "metric", "v", "n"])
+            where = np.array(list(place))[g >> 32]
+            yield pa.RecordBatch.from_arrays([files.dictionary.take(pa.array(where[:, 1])), channels.dictionary.take(pa.array(where[:, 0])), pa.array(names, pa.string()).take(pa.array(g & 0xFFFFFFFF)), pa.array(pair["v"][first]), pa.array(n)], ["file", "channel", "metric", "v", "n"])
 
-    once = clips.select("id", "channel", "duration", "metrics_json").filter("id is not null").dropDuplicates(["id"])
-    return once.mapInArrow(run, "channel string, metric string, v long, n long").groupBy("channel", "metric", "v").agg(F.sum("n").alias("n"))
+    file = F.input_file_name() if by_file else F.lit("")  # at the scan: behind a shuffle no row knows its file
+    once = clips.select("id", "channel", "duration", "metrics_json", file.alias("file")).filter("id is not null").dropDuplicates(["id"])
+    return once.mapInArrow(run, "file string, channel string, metric string, v long, n long").groupBy(*["file"] * by_file, "channel", "metric", "v").agg(F.sum("n").alias("n"))
 
 
 def state(values: DataFrame, groups: list[str], digits: int = 2) -> DataFrame:

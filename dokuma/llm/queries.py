@@ -103,28 +103,14 @@ def p6_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     return percentiles.percentiles(percentiles.clip_values(table(spark, sf, "clips")), ["channel", "metric"], PERCENTILES)
 
 
-def p6_mergeable(spark: SparkSession, sf: str) -> DataFrame:
-    """The same from states: one per input file, added up; bounds of each percentile."""
-    from ..functions.text import channel_key
-
-    clips = table(spark, sf, "clips").filter("id is not null").dropDuplicates(["id"]).select(channel_key("channel").alias("channel"), F.col("duration").alias("x"), F.input_file_name().alias("file"))
-    ok = clips.filter(F.col("channel").isNotNull() & F.col("x").isNotNull() & ~F.isnan("x") & (F.abs("x") < float("inf")))
-    bits = F.expr("x + 0.0D")
-    values = ok.withColumn("v", order_of(bits)).groupBy("channel", "file", "v").agg(F.count("*").alias("n"))
-    daily = percentiles.state(values, ["channel", "file"])
-    return percentiles.from_state(percentiles.merge([daily], ["channel"]), ["channel"], PERCENTILES)
-
+def _file_states(spark: SparkSession, sf: str) -> DataFrame:
+    """The two-digit states of all metrics, one of each input file: (file, channel, metric, bucket, n)."""
+    return percentiles.state(percentiles.clip_values(table(spark, sf, "clips"), by_file=True), ["file", "channel", "metric"])
 
-def order_of(c):  # noqa: ANN001, ANN201
-    from pyspark.sql import types as T
 
-    @F.pandas_udf(T.LongType())
-    def f(x):  # noqa: ANN001, ANN202
-        import pandas as pd
-
-        return pd.Series(percentiles.to_order(x.to_numpy()))
-
-    return f(c)
+def p6_mergeable(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from states: one per input file, added up; bounds of each percentile."""
+    return percentiles.from_state(percentiles.merge([_file_states(spark, sf)], ["channel", "metric"]), ["channel", "metric"], PERCENTILES)
 
 
 def p7_packed(spark: SparkSession, sf: str) -> DataFrame:

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dokuma.functions.text import DIGITS, channel_name, words
-from dokuma.llm import cap, components, group_split, lines, packing, percentiles
+from dokuma.llm import cap, components, group_split, lines, packing, percentiles, queries
 
 from .helpers import LONG, clips, documents, rows
 
@@ -196,6 +196,17 @@ def test_values_of_clips(spark):
     assert rows(percentiles.percentiles(percentiles.clip_values(clips(spark, [])), ["channel", "metric"], PS)) == []
 
 
+def test_states_of_files_add_up_for_all_metrics(spark, sf, tmp_path):
+    clips_of = spark.read.parquet(f"{sf}/clips.parquet")
+    clips_of.repartition(3, "source_id", "idx").unionByName(clips_of.limit(20).coalesce(1)).write.parquet(str(tmp_path / "clips.parquet"))  # some ids stand in two files
+    files = {r.file for r in queries._file_states(spark, str(tmp_path)).select("file").distinct().collect()}
+    assert len(files) >= 3 and "" not in files
+    exact = {(r.channel, r.metric, r.p): (r.n_values, r.value) for r in queries.p6_percentiles(spark, sf).collect()}
+    got = {(r.channel, r.metric, r.p): r for r in queries.p6_mergeable(spark, str(tmp_path)).collect()}
+    assert got.keys() == exact.keys() and len({m for _, m, _ in got}) > 1
+    assert all(got[k].n_values == n and got[k].low <= v <= got[k].high for k, (n, v) in exact.items())
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 40), st.integers(1, 30), max_size=20), st.integers(40, 60))
 def test_plan_uses_each_length_once(histogram, capacity):
