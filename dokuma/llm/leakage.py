@@ -1,12 +1,13 @@
 """Problem 8: evaluation texts leaking into training text, by pigeonhole edit matching.
 
-Each test item is cut into passages: every run of ``window`` words that starts at a multiple of the piece length (the whole item where it is
-shorter). A passage may differ by up to ``budget`` words, so it is cut into budget + 1 pieces, of which at least one stands
-unchanged wherever the passage occurs. Documents are searched for exact pieces by hashes of word runs over whole Arrow batches; around each
-hit Myers' bit-parallel algorithm finds the edit distance of the passage.
+The passages of a test item are all its runs of ``window`` words (the whole item where it is shorter). A passage may differ by up to ``budget``
+words, so it is cut into budget + 1 pieces, of which at least one stands unchanged wherever the passage occurs; the pieces of all
+passages are indexed. Documents are searched for exact pieces by hashes of word runs over whole Arrow batches; around each hit
+Myers' bit-parallel algorithm finds the edit distance of each passage of which it is a piece. A passage of no more than ``budget`` words has no
+piece of its own and is found where one of its words stands.
 
-With a budget of one, pieces of a 12-word window are 6 words long and start at multiples of 6, so each run of 12
-shared words holds a whole piece: extending a hit word by word to both sides therefore finds every such run exactly.
+With a budget of one, pieces of a 12-word window are 6 words long, so each run of 12 shared words holds a whole
+piece: extending a hit word by word to both sides therefore finds every such run exactly.
 
 Items go to the tasks as a table of bounded size; more than ``BLOCK`` items are taken in blocks, one pass over the documents each.
 """
@@ -54,10 +55,11 @@ def myers(pattern: list[int], text: list[int]) -> tuple[int, int]:
 
 
 class Items:
-    """Test items of one block: their words as numbers, passages and the hashes of their pieces."""
+    """Test items of one block: their words as numbers, passages and the hashes of their pieces. ``near``: the pieces of all passages; else those
+    of which each whole passage holds one."""
 
-    def __init__(self, rows: list[tuple[int, list[str]]], window: int, budget: int) -> None:
-        self.window, self.budget = window, budget
+    def __init__(self, rows: list[tuple[int, list[str]]], window: int, budget: int, near: bool = True) -> None:
+        self.window, self.budget, self.near = window, budget, near
         self.number: dict[str, int] = {}
         self.items: list[tuple[int, list[int]]] = []
         pieces: dict[int, dict[int, list[tuple[int, int]]]] = {}
@@ -66,12 +68,30 @@ class Items:
                 continue
             ids = [self.number.setdefault(w, len(self.number) + 1) for w in ws]
             self.items.append((item_id, ids))
-            size = max(1, window // (budget + 1)) if len(ids) >= window else len(ids)
-            for at in range(0, len(ids) - size + 1, size):
+            for at, size in self.places(len(ids)):
                 h = self.hash(np.array(ids[at : at + size], U), size)[0]
                 pieces.setdefault(size, {}).setdefault(int(h), []).append((len(self.items) - 1, at))
         self.pieces = {size: (np.sort(np.array(list(p), U)), p) for size, p in pieces.items()}
 
+    def cuts(self, m: int) -> list[tuple[int, int]]:
+        """(place, size) of the budget + 1 pieces of a passage of ``m`` words; one that the budget could remove is a piece as a whole."""
+        k = self.budget + 1 if m > self.budget else 1
+        at = [m * i // k for i in range(k + 1)]
+        return [(a, b - a) for a, b in zip(at, at[1:])]
+
+    def places(self, n: int) -> list[tuple[int, int]]:
+        """(place, size) of the indexed pieces of an item of ``n`` words."""
+        if self.near:
+            m = min(n, self.window)
+            return sorted({(start + at, size) for at, size in self.cuts(m) for start in range(n - m + 1)})
+        size = max(1, self.window // (self.budget + 1)) if n >= self.window else n
+        return [(at, size) for at in range(0, n - size + 1, size)]
+
+    def passages(self, n: int, at: int, size: int) -> list[int]:
+        """Where the passages begin that have the piece, in an item of ``n`` words."""
+        m = min(n, self.window)
+        return [at - a for a, k in self.cuts(m) if k == size and 0 <= at - a <= n - m] if self.near and m > self.budget else []
+
     @staticmethod
     def hash(x: np.ndarray, size: int) -> np.ndarray:
         """Polynomial hash of each run of ``size`` numbers."""
@@ -129,27 +149,31 @@ def search(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[pa.Recor
         best: dict[tuple[int, int], tuple[int, int]] = {}
         begin = np.array(starts)
         done: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        tried: set[tuple[int, int, int, int]] = set()
         for item, at, p, size in items.hits(np.array(docs, U)):
             d = int(np.searchsorted(begin, p, "right")) - 1
             key, ids = (d, item), items.items[item][1]
             diagonal = p - at
-            if any(x == diagonal and lo <= p < hi for x, lo, hi in done.get(key, ())):
-                continue  # inside a run already measured
-            end = starts[d + 1] if d + 1 < len(starts) else total
-            run = exact_run(docs, p, ids, at) if docs[p : p + size] == ids[at : at + size] else 0
-            if not run:
-                continue
-            done.setdefault(key, []).append((diagonal, p, p + run))
             old = best.get(key, (0, 1 << 30))
-            least = 0
-            if run < min(items.window, len(ids)):
-                least = old[1]
-                for start in {at, at - (items.window - size)}:  # passages that begin or end with this piece
-                    start = max(0, min(start, len(ids) - items.window))
-                    if least > 0:
-                        lo = max(starts[d], diagonal + start - items.budget)
-                        least = min(least, myers(ids[start : start + items.window], docs[lo : min(end, diagonal + start + items.window + items.budget)])[0])
-            best[key] = (max(old[0], run), min(old[1], least))
+            width = min(items.window, len(ids))
+            if old[1] == 0 and old[0] == len(ids):
+                continue
+            if not any(x == diagonal and lo <= p < hi for x, lo, hi in done.get(key, ())):  # else inside a run already measured
+                run = exact_run(docs, p, ids, at) if docs[p : p + size] == ids[at : at + size] else 0
+                if not run:
+                    continue
+                done.setdefault(key, []).append((diagonal, p, p + run))
+                old = best[key] = (max(old[0], run), 0 if run >= width else old[1])
+            if old[1] <= 1:
+                continue  # none is nearer, but a whole passage, which is a run
+            end = starts[d + 1] if d + 1 < len(starts) else total
+            for start in items.passages(len(ids), at, size):
+                if (d, item, diagonal, start) in tried:
+                    continue
+                tried.add((d, item, diagonal, start))
+                lo = max(starts[d], diagonal + start - items.budget)
+                least = myers(ids[start : start + width], docs[lo : min(end, diagonal + start + width + items.budget)])[0]
+                best[key] = old = (old[0], min(old[1], least))
         if best:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array([of[d] for d, _ in best])), pa.array([items.items[i][0] for _, i in best], pa.int64()), pa.array([x[0] for x in best.values()], pa.int64()), pa.array([x[1] for x in best.values()], pa.int64()), pa.array([len(items.items[i][1]) for _, i in best], pa.int64())],
@@ -157,18 +181,19 @@ def search(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[pa.Recor
             )
 
 
-def leaks(docs: DataFrame, tests: DataFrame, window: int = 12, budget: int = 1) -> DataFrame:
+def leaks(docs: DataFrame, tests: DataFrame, window: int = 12, budget: int = 1, near: bool = True) -> DataFrame:
     """(doc_id, item_id, run, distance, item_words): documents with a passage of an item within ``budget`` word edits, with the longest exact run found and
     the least distance. Null and blank texts have no words and take no part; items under several ids are reported under each; an
-    empty side gives an empty result. Rows with equal ids count once each batch; ask for distinct rows."""
+    empty side gives an empty result. Items of no more than ``budget`` words count only unchanged. Without ``near`` whole passages alone are sure to be found. Rows with equal ids count once each batch; ask for distinct rows."""
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
     own = tests.select("item_id", "text").filter("item_id is not null AND text is not null")
     n = own.count()
     out = None
-    for block in range(max(1, -(-n // BLOCK))):
-        part = own.filter(F.pmod(F.xxhash64("item_id"), F.lit(max(1, -(-n // BLOCK)))) == block) if n > BLOCK else own
-        table = spark.sparkContext.broadcast(Items([(r.item_id, folded_words(r.text)) for r in part.toLocalIterator()], window, budget))
+    most = max(1, BLOCK // (window // (budget + 1))) if near else BLOCK  # as many pieces
+    for block in range(max(1, -(-n // most))):
+        part = own.filter(F.pmod(F.xxhash64("item_id"), F.lit(max(1, -(-n // most)))) == block) if n > most else own
+        table = spark.sparkContext.broadcast(Items([(r.item_id, folded_words(r.text)) for r in part.toLocalIterator()], window, budget, near))
         found = spread(docs.select("doc_id", "text")).mapInArrow(lambda it, t=table: search(it, t.value), f"doc_id {kind}, item_id long, run long, distance long, item_words long")
         out = found if out is None else out.unionByName(found)
     return out.filter(F.col("distance") <= budget)
@@ -176,4 +201,4 @@ def leaks(docs: DataFrame, tests: DataFrame, window: int = 12, budget: int = 1)
 
 def exact_leaks(docs: DataFrame, tests: DataFrame, window: int = 12) -> DataFrame:
     """(doc_id, item_id): at least ``window`` words in a row are shared, or the whole item where it is shorter."""
-    return leaks(docs, tests, window).filter(F.col("run") >= F.least(F.lit(window), "item_words")).select("doc_id", "item_id").distinct()
+    return leaks(docs, tests, window, near=False).filter(F.col("run") >= F.least(F.lit(window), "item_words")).select("doc_id", "item_id").distinct()

@@ -58,6 +58,44 @@ def test_near_leaks(spark):
     assert got == {1: 1, 3: 0}
 
 
+def distance(p, t):
+    """Least edit distance between ``p`` and any part of ``t``, by the whole table."""
+    row = list(range(len(p) + 1))
+    best = row[-1]
+    for c in t:
+        new = [0]
+        for i, x in enumerate(p):
+            new.append(min(row[i] + (x != c), row[i + 1] + 1, new[i] + 1))
+        row = new
+        best = min(best, row[-1])
+    return best
+
+
+def test_near_leaks_are_those_of_brute_force(spark):
+    r = random.Random(11)
+    vocab = [f"k{i}" for i in range(400)]
+    items = [(i, [r.choice(vocab) for _ in range(n)]) for i, n in enumerate([1, 2, 3, 4, 5, 7, 11, 12, 13, 17, 18, 25, 40] * 2)]
+    docs = []
+    for d in range(300):
+        ws = list(r.choice(items)[1])
+        a = r.randrange(max(1, len(ws) - 11))
+        ws = ws[a : a + r.choice([12, 12, 13, 14, 40])]
+        for _ in range(r.choice([0, 1, 1, 1, 2])):
+            i = r.randrange(len(ws) + 1)
+            ws[i : i + r.choice([0, 1, 1])] = r.choice([[], ["yeni"], [r.choice(vocab)]])
+        docs.append((d, "s", " ".join([r.choice(vocab) for _ in range(r.randint(0, 6))] + ws + [r.choice(vocab) for _ in range(r.randint(0, 6))])))
+    tests = spark.createDataFrame([(i, " ".join(ws)) for i, ws in items], "item_id long, text string")
+    got = {(x.doc_id, x.item_id): x.distance for x in leakage.leaks(documents(spark, docs), tests).collect()}
+    want = {}
+    for d, _, t in docs:
+        for i, ws in items:
+            m = min(12, len(ws))
+            least = min(distance(ws[j : j + m], t.split()) for j in range(len(ws) - m + 1))
+            if least <= min(1, m - 1):  # a single word only unchanged
+                want[d, i] = least
+    assert got == want and sum(x == 1 for x in want.values()) > 50
+
+
 def test_leaks_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert rows(leakage.exact_leaks(documents(spark, [(1, "s", "bir iki")]), none)) == []
