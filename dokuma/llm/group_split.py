@@ -2,7 +2,7 @@
 
 Records and the entities they name (source, channel) form a bipartite graph; distributed union-find (``components``) gives each
 entity its group. Groups are then assigned largest first, each to the split furthest below its target. Only groups
-of at least 1/10,000 of the total are dealt singly; smaller ones travel in at most 4,096 hash bundles, so the greedy loop
+of at least 1/10,000 of the total, and more than nothing, are dealt singly; others travel in at most 4,096 hash bundles, so the greedy loop
 sees at most 14,096 items at any size of data.
 """
 
@@ -73,7 +73,7 @@ def assign(records: DataFrame, left: str, right: str, weight: str, shares: dict[
     sums = materialize(grouped.groupBy("group_id").agg(F.sum(weight).alias("w"), F.count("*").alias("_n")), "groups")
     total = sums.agg(F.sum("w")).first()[0] or 0
     bundle = F.concat(F.lit("b"), F.pmod(F.xxhash64("group_id"), F.lit(BUNDLES)))
-    item = F.when(F.col("w") >= total / SINGLE, F.concat(F.lit("g"), F.col("group_id"))).otherwise(bundle)
+    item = F.when((F.col("w") > 0) & (F.col("w") >= total / SINGLE), F.concat(F.lit("g"), F.col("group_id"))).otherwise(bundle)
     sums = sums.withColumn("item", item)
     dealt = deal([(r.item, r.w or 0) for r in sums.groupBy("item").agg(F.sum("w").alias("w")).collect()], shares)  # SINGLE + BUNDLES rows at most
     table = spark.createDataFrame(list(dealt.items()) or [("", "")], "item string, split string")

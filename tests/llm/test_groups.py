@@ -148,6 +148,17 @@ def test_groups_stay_together(spark):
     assert group_split.assign(group_split.named(clips(spark, [])), "source", "channel", "ms", {"train": 1.0}).count() == 0
 
 
+def test_weightless_groups_travel_in_bundles(spark, monkeypatch):
+    seen = []
+    deal = group_split.deal
+    monkeypatch.setattr(group_split, "BUNDLES", 4)
+    monkeypatch.setattr(group_split, "deal", lambda sizes, shares: seen.extend(sizes) or deal(sizes, shares))
+    data = spark.createDataFrame([(f"i{k}", f"s{k}", f"c{k}", 0) for k in range(60)], "id string, source string, channel string, ms long")
+    got = group_split.assign(data, "source", "channel", "ms", {"train": 0.9, "test": 0.1}).collect()
+    assert len(got) == 60 and all(r.split in ("train", "test") for r in got)
+    assert 0 < len(seen) <= 4
+
+
 def test_linked_channels(spark):
     data = [("a", 1, "x"), ("b", 1, "y"), ("c", 2, "Y"), ("d", 2, "z"), ("e", None, "q"), ("f", None, "x"), ("g", 5, None), ("h", 6, "w")]
     roots = group_split.entity_groups(group_split.named(clips(spark, [(*d, 1.0, "t") for d in data])), "source", "channel")
