@@ -7,12 +7,15 @@ from ..functions.text import WORD, nfc, tr_lower
 # Characters that are dropped, and letters that are read as plain ones.
 DROPPED = "­​‌‍⁠﻿"
 FROM, TO = "çğıöşüâîû", "cgiosuaiu"
-TABLE = str.maketrans(FROM, TO, DROPPED)
+TABLE = [*((c, "") for c in DROPPED), *zip(FROM, TO)]
 
 
 def fold(text: str) -> str:
     text = tr_lower(nfc(text))
-    return text if text.isascii() else text.translate(TABLE)
+    if not text.isascii():
+        for c, to in TABLE:  # a scan each, far cheaper than a look-up a character
+            text = text.replace(c, to)
+    return text
 
 
 def folded_words(text: str) -> list[str]:

@@ -1,16 +1,21 @@
 """Problem 9: template residue, filler, error pages and script notices.
 
-Lines are normalised (folded, digits as 0) and counted by host over all documents. Lines that recur in at least ``RECURS`` documents of
-a host are its boilerplate and are subtracted - except those that carry evidence themselves, since a notice stays a notice on
-every page. A document is excluded if its residual holds a sentence of strong evidence, or if nothing but weak evidence
-(reference numbers, server names, bare fragments of messages) is left of it.
+Lines are normalised (folded, digits as 0) and counted by host over all documents. The counts decide in two ways. Lines that recur in at least ``RECURS``
+documents of a host are its boilerplate and are subtracted, unless they carry strong evidence: a notice is one on every page. And short lines about
+pages, players or programs (``TOPIC``) that no pattern knows are evidence where the same line stands in at least ``TEMPLATE`` documents of several hosts: notices
+come from templates, prose doesn't repeat word for word.
 
-Evidence is judged sentence by sentence. A sentence that talks about such things or quotes them (``TALK``) is none.
+A document is excluded if its residual holds strong evidence, or if nothing but weak evidence is left of it: reference numbers, server
+names, bare fragments of messages.
+
+Evidence is judged sentence by sentence, filler over whole lines too. A sentence that talks about such things or quotes them (``TALK``) is none.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +31,8 @@ from ..session import materialize, spread
 from .folding import fold
 from .gate import literals
 
-RECURS = 20
-STRONG, WEAK, NONE = 2, 1, 0
+RECURS, TEMPLATE = 20, 3
+STRONG, WEAK, TOPICAL, NONE = 3, 2, 1, 0
 
 # Fixed values, all in folded form (lower case, plain letters).
 # Words of talk about placeholders and messages: anywhere in a sentence, or close to a slot.
@@ -102,11 +107,16 @@ LATIN = frozenset(
 )
 DUMMY = frozenset("deneme test testing asdf asd qwer qwerty zxcv jkl xxx blah foo bar baz metin baslik ornek yazi icerik paragraf dummy sample text title aaa bla".split())
 PATTERNS = (SLOT, ASKING, BRACE, ANGLE, BARE, UNFILLED, MESSAGE, NOTICE, FRAGMENT)
-# Literals of the patterns that prose is full of, by what the patterns ask for around them: status codes, a word of its own (a time that LEAD cuts off may stand before it), a name or bracket.
-NARROWED = {"4": r"4\d\d", "5": r"5\d\d", "nan": r"(?<![^\W\d])nan(?!\w)", "%": r"%[a-z_(]"}
-SIGNS = re.compile("|".join(NARROWED.values()))
-# What any sentence with evidence holds, unless it has a sign or words of filler: found by one automaton in one pass.
-HINTS = sorted(frozenset().union({"lorem"}, *map(literals, PATTERNS)) - NARROWED.keys())
+# Stems of words about pages, players, programs and access to them. A short line with several of them, at least a fourth of its words, may be a notice that no pattern knows; counts decide.
+TOPIC = (
+    "sayfa site sunucu tarayici betik javascript script cerez cookie hata error page server browser erisim access oturum session baglanti connection request bakim maintenance yukle loading izniniz yetki permission denied login retry reload "
+    "kullanilam bulunam goruntule unavailable available oynatici player eklenti plugin http captcha robot dogrula verify veritabani database timeout guncelle update tikla click desteklen support etkinles enable disable devre hizmet service yonetici admin sistem system"
+).split()
+SHORT = 16  # words
+# Literals of the patterns that prose is full of, by what the patterns ask for around them: status codes, a percent sign before a name or bracket, a word of its own (``OWN``; a time that ``LEAD`` cuts off may stand before it).
+NARROWED = {"nan": [], "4": [f"4{i:02}" for i in range(100)], "5": [f"5{i:02}" for i in range(100)], "%": [f"%{x}" for x in "abcdefghijklmnopqrstuvwxyz_("]}
+# What any sentence with evidence holds, unless it has words of filler: found by one automaton in one pass.
+HINTS = sorted(frozenset().union({"lorem"}, *map(literals, PATTERNS), *NARROWED.values()) - NARROWED.keys())
 FILL = LATIN | DUMMY
 LEAD = re.compile(r"^(?:[\s>»⚠*•·#=~|:\-–—]+|\[x\]|\[\s*[!x]\s*\]|\(?\d{1,2}:\d{2}(?::\d{2})?\)?)+\s*")
 TAIL = re.compile(r"\s*[\(\[](?:\d{1,2}:\d{2}(?::\d{2})?|\d{1,2}\.\d{1,2}\.\d{4}|[\s,;/-])+[\)\]]\s*$")
@@ -137,12 +147,6 @@ def filler(ws: list[str]) -> bool:
     return len(mashed) >= 3 and (len(set(mashed)) < len(mashed) or all(set(w) == {"x"} for w in mashed))
 
 
-def fill(s: str) -> bool:
-    """Two words of filler at least, without which ``filler`` holds for no sentence of ``s``: it asks for three (``LEAD`` may cut one free), or for lorem, a hint."""
-    ws = WORD.findall(s)
-    return not ("x" not in s and FILL.isdisjoint(ws)) and sum(w in FILL or not w.strip("x") for w in ws) >= 2
-
-
 def told(s: str, m: re.Match) -> bool:
     """Whether the text around a slot talks about it."""
     return bool(NEAR.search(s[max(0, m.start() - 40) : m.start()]) or AFTER.match(s[m.end() : m.end() + 45]))
@@ -178,29 +182,65 @@ def judge(sentence: str) -> int:
     return WEAK if FRAGMENT.search(s) else NONE
 
 
+HINT, FILLS, TOPICS, OWN = 1, 2, 4, 8
+
+
 class Judge:
-    """Evidence of lines; sentences without any sign, hint or filler, which can't have evidence, are passed over."""
+    """Evidence of lines. One automaton finds the hints, words of filler and topic words of a line in one pass; sentences with neither a hint nor two words of filler
+    (``filler`` asks for three, of which ``LEAD`` may cut one free, or for lorem, a hint) can't have evidence and are passed over."""
 
     def __init__(self) -> None:
         import ahocorasick
 
-        self.hints = ahocorasick.Automaton()
-        for h in HINTS:
-            self.hints.add_word(h, True)
-        self.hints.make_automaton()
+        kinds: dict[str, int] = {}
+        for kind, texts in ((HINT, HINTS), (FILLS, [*FILL, "x"]), (TOPICS, TOPIC), (OWN, ["nan"])):
+            for x in texts:
+                kinds[x] = kinds.get(x, 0) | kind
+        self.known = ahocorasick.Automaton()
+        for x, kind in kinds.items():
+            self.known.add_word(x, (kind, len(x)))
+        self.known.make_automaton()
+
+    def marks(self, s: str) -> tuple[list[int], list[int], set[int]]:
+        """Where hints and words of filler end, and which topic stems words begin with."""
+        hints, fills, topics = [], [], set()
+        for end, (kind, n) in self.known.iter(s):
+            if kind & HINT:
+                hints.append(end)
+            elif kind & OWN and not (end >= n and s[end - n].isalpha()) and not s[end + 1 : end + 2].isalnum():
+                hints.append(end)
+            if kind & (FILLS | TOPICS) and (end < n or not s[end - n].isalnum()):
+                if kind & TOPICS:
+                    topics.add(s[end + 1 - n : end + 1])
+                if kind & FILLS:
+                    after = end + 1
+                    while n == 1 and s[after : after + 1] == "x":
+                        after += 1
+                    if not s[after : after + 1].isalnum():
+                        fills.append(end)
+        return hints, fills, topics
 
     def hinted(self, s: str) -> bool:
-        return next(self.hints.iter(s), None) is not None or SIGNS.search(s) is not None or fill(s)
+        hints, fills, _ = self.marks(s)
+        return bool(hints) or len(fills) >= 2
 
     def line(self, line: str) -> int:
-        """Strong if any sentence is, weak if all are at least weak."""
-        if len(line) >= 40 and not self.hinted(line):
-            return NONE
-        parts = [x for x in SENTENCE.split(line) if x.strip()]
-        found = [judge(x) if len(x) < 40 or self.hinted(x) else NONE for x in parts]
-        if STRONG in found or len(parts) > 1 and len(line) < 120 and judge(line) == STRONG:
-            return STRONG
-        return WEAK if found and all(x == WEAK for x in found) else NONE
+        """Strong if any sentence is, weak if all are at least weak, topical if the line is a short one about pages and programs."""
+        hints, fills, topics = self.marks(line)
+        found = NONE
+        if hints or len(fills) >= 2:
+            ends = [m.start() for m in SENTENCE.finditer(line)]
+            parts = SENTENCE.split(line)
+            filled = Counter(bisect_left(ends, e + 1) for e in fills)
+            marked = {bisect_left(ends, e + 1) for e in hints} | {i for i, n in filled.items() if n >= 2}
+            each = {i: judge(parts[i]) for i in marked}
+            if STRONG in each.values() or len(parts) > 1 and len(fills) > 2 and filler(WORD.findall(line)) and not TALK.search(line):
+                return STRONG
+            if all(each.get(i) == WEAK for i, x in enumerate(parts) if x.strip()):
+                found = WEAK
+        if not found and len(topics) >= 2 and len(WORD.findall(line)) <= min(SHORT, 4 * len(topics)) and not TALK.search(line):
+            return TOPICAL
+        return found
 
 
 def line_evidence(docs: DataFrame) -> DataFrame:
@@ -232,13 +272,22 @@ def line_evidence(docs: DataFrame) -> DataFrame:
 KEY = ["host", "k1", "k2"]
 
 
-def residue(docs: DataFrame, recurs: int = RECURS) -> DataFrame:
-    """(doc_id, n_strong, n_weak, n_left, n_boilerplate) of each document with evidence in its residual. Repeated rows of a document count once a line;
+def residue(docs: DataFrame, recurs: int = RECURS, template: int = TEMPLATE) -> DataFrame:
+    """(doc_id, n_strong, n_weak, n_left, n_boilerplate) of each document with evidence in its residual. ``n_strong`` counts lines of strong evidence and those that
+    recur as templates do, ``n_weak`` lines of weak evidence, ``n_left`` the lines left of the document. Repeated rows of a document count once a line;
     null and blank texts have no lines and are none of them."""
     lines = materialize(line_evidence(docs), "lines")
-    common = lines.groupBy(*KEY, "doc_id").agg(F.max("evidence").alias("evidence"), F.count("*").alias("rows")).groupBy(*KEY).agg(F.count("*").alias("n"), F.sum("rows").alias("rows"), F.max("evidence").alias("evidence")).filter((F.col("n") >= recurs) & (F.col("evidence") == NONE)).drop("n")
-    suspects = lines.groupBy("doc_id").agg(F.max("evidence").alias("m"), F.count("*").alias("all"), F.sum((F.col("evidence") == STRONG).cast("long")).alias("n_strong"), F.sum((F.col("evidence") == WEAK).cast("long")).alias("n_weak")).filter("m > 0")
-    gone = hot_split_join(lines.filter(F.col("evidence") == NONE).select("doc_id", *KEY), materialize(common.drop("evidence"), "common"), KEY, "rows").groupBy("doc_id").agg(F.count("*").alias("gone"))
-    j = suspects.join(gone, "doc_id", "left").withColumn("n_boilerplate", F.coalesce("gone", F.lit(0)))
-    left = F.col("all") - F.col("n_boilerplate")
-    return j.filter((F.col("n_strong") > 0) | (F.col("n_weak") == left)).select("doc_id", "n_strong", "n_weak", left.cast("long").alias("n_left"), F.col("n_boilerplate").cast("long").alias("n_boilerplate"))
+    by_doc = lines.groupBy(*KEY, "doc_id").agg(F.max("evidence").alias("evidence"), F.count("*").alias("rows"))
+    # Lines that occur once and say nothing are most of all; they decide nothing and end here.
+    counted = by_doc.groupBy(*KEY).agg(F.count("*").alias("n"), F.sum("rows").alias("rows"), F.max("evidence").alias("evidence"))
+    counted = materialize(counted.filter((F.col("evidence") == TOPICAL) | ((F.col("evidence") < STRONG) & (F.col("n") >= recurs))), "counted")
+    templates = counted.filter(F.col("evidence") == TOPICAL).groupBy("k1", "k2").agg(F.sum("n").alias("n"), F.count("*").alias("hosts"), F.sum("rows").alias("rows"))
+    templates = materialize(templates.filter((F.col("n") >= template) & (F.col("hosts") >= 2)).select("k1", "k2", "rows"), "templates")
+    common = counted.filter(F.col("n") >= recurs).join(templates.select("k1", "k2"), ["k1", "k2"], "left_anti").select(*KEY, "rows")
+    weak, strong = (F.col("evidence") == WEAK).cast("long"), (F.col("evidence") == STRONG).cast("long")
+    suspects = lines.groupBy("doc_id").agg(F.count("*").alias("all"), F.sum(strong).alias("strong"), F.sum(weak).alias("weak"), F.max("evidence").alias("most")).filter(F.col("most") > NONE)
+    gone = hot_split_join(lines.filter(F.col("evidence") < STRONG), materialize(common, "common"), KEY, "rows").groupBy("doc_id").agg(F.count("*").alias("gone"), F.sum(weak).alias("gone_weak"))
+    raised = hot_split_join(lines.filter(F.col("evidence") == TOPICAL).select("doc_id", "k1", "k2"), templates, ["k1", "k2"], "rows").groupBy("doc_id").agg(F.count("*").alias("raised"))
+    j = suspects.join(gone, "doc_id", "left").join(raised, "doc_id", "left").na.fill(0, ["gone", "gone_weak", "raised"])
+    n_strong, n_weak, left = F.col("strong") + F.col("raised"), F.col("weak") - F.col("gone_weak"), F.col("all") - F.col("gone")
+    return j.filter((n_strong > 0) | ((F.col("weak") > 0) & (n_weak == left))).select("doc_id", n_strong.alias("n_strong"), n_weak.alias("n_weak"), left.alias("n_left"), F.col("gone").alias("n_boilerplate"))

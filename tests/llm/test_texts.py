@@ -154,5 +154,29 @@ def test_boilerplate_is_subtracted(spark):
     assert got == {0: 1, 1: 1, 2: 1}
 
 
+# Notices of kinds that no pattern knows.
+UNKNOWN = ["Oynatıcı eklentisi güncel sürümü bekliyor", "Sistem hizmet veremiyor", "Yetki denetimi: kullanılamaz sayfa", "Captcha adımı: robot sınaması", "Server login service paused", "Oturum hizmeti askıda"]
+
+
+def test_unknown_notices_are_found_by_counts(spark):
+    """None of them is evidence by itself; where the same line stands in documents of several hosts, all are found. Prose about the same things that no two hosts share isn't."""
+    judge = residue.Judge()
+    assert all(judge.line(residue.fold(x)) == residue.TOPICAL for x in UNKNOWN)
+    text = lambda i, x: f"Gerçek bir metin {'abcdefghijklmnopqrstuvwxyz'[i % 26]} {'bcdfghjk'[i // 26]} burada.\n{x}"
+    data = [(10 * k + i, f"H{i % 3}", text(10 * k + i, x)) for k, x in enumerate(UNKNOWN) for i in range(4)]
+    data += [(900 + i, "H1", text(i, f"Sistem hizmet {'abcdefghijklmnopqrstuvwxyz'[i]} veremiyor")) for i in range(10)] + [(950 + i, "H2", text(i, "Oturum hizmeti durgun")) for i in range(4)]
+    got = {r.doc_id for r in residue.residue(documents(spark, data)).collect()}
+    assert got == {d for d, *_ in data if d < 900}
+    assert not residue.residue(documents(spark, data), template=5).collect()
+
+
+def test_subtraction_decides(spark):
+    """Documents of which nothing but fragments is left without their host's boilerplate are found with it off, too, only if they hold nothing else."""
+    footer = "Bizi dinlediğiniz için teşekkürler"
+    data = [(i, "K", f"{footer}\nRef: 0a{i}b{i}") for i in range(3)] + [(50 + i, "K", f"Gerçek bir metin {'abcdefghijklmnopqrstuvwxyz'[i]} burada.\n{footer}") for i in range(25)]
+    found = lambda **k: {r.doc_id for r in residue.residue(documents(spark, data), **k).collect()}
+    assert found() == {0, 1, 2} and found(recurs=10**9) == set()
+
+
 def test_residue_empty(spark):
     assert rows(residue.residue(documents(spark, []))) == []
