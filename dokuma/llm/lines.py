@@ -1,8 +1,9 @@
 """Problem 4: lines repeated across one source's documents.
 
-Lines of each channel are nodes of a graph, weighted by the number of recordings that hold them; two lines that follow each other in a text
-are an edge, weighted likewise. Nodes and edges of high support stay; connected components are the boilerplate blocks
-(notices, calls, credits); every occurrence of a kept line in its channel is deleted.
+Lines of each channel are nodes of a graph, weighted by the number of recordings that hold them; two lines that follow each other in a text, blank ones
+aside, are an edge, weighted likewise. Nodes and edges of high support stay, and connected components are the boilerplate blocks (notices, calls, credits; a
+repeated line without repeated neighbour is a block of its own). Lines below ``LONG`` words are too common to be repeated by themselves ("Evet.", "Abone ol!"): they
+count only as parts of a block that has a long line, and go only where they stand in a row with one.
 
 Support is counted from distinct (channel, line, recording) rows, so a line that fills a third of the table is
 spread over its recordings; occurrences are found by ``hot_split_join``, which broadcasts the few hottest lines only.
@@ -26,36 +27,43 @@ from ..session import materialize, spread
 from .components import components
 
 
+LONG = 4  # words
+
+
 def split_lines(text: str) -> list[str]:
     """Lines that end at LF or CRLF."""
     return [x[:-1] if x.endswith("\r") else x for x in text.split("\n")[:-1]] + [text.split("\n")[-1]] if "\n" in text else [text]
 
 
-def line_rows(clips: DataFrame, least_words: int = 4) -> DataFrame:
-    """One row per line of at least ``least_words`` words in a text that has a channel: id, line_no, channel name, source_id and the 128-bit key
-    of its words, with each run of digits read as 0. Repeated rows of a clip give repeated rows."""
+def line_rows(clips: DataFrame, long: int = LONG) -> DataFrame:
+    """One row per line with words in a text that has a channel: id, line_no, nth of the lines with words, whether it has ``long`` words, channel name, source_id and
+    the 128-bit key of its words, with each run of digits read as 0. Repeated rows of a clip give repeated rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at, no, keys = [], [], bytearray()
+            at, no, nth, size, keys = [], [], [], [], bytearray()
             for i, t in enumerate(b.column(3).to_pylist()):
                 if t is None:
                     continue
+                n = 0
                 for k, line in enumerate(split_lines(t)):
                     ws = words(line)
-                    if len(ws) >= least_words:
+                    if ws:
                         at.append(i)
                         no.append(k)
+                        nth.append(n)
+                        size.append(len(ws) >= long)
                         keys += xxhash.xxh3_128_digest(DIGITS.sub("0", " ".join(ws)))
+                        n += 1
             if not at:
                 continue
             k = np.frombuffer(bytes(keys), np.int64).reshape(-1, 2)
             ids, source, channel = (c.take(pa.array(at)) for c in (b.column(0), b.column(1), channel_names(b.column(2))))
-            out = pa.RecordBatch.from_arrays([ids, pa.array(no, pa.int32()), channel, source, pa.array(k[:, 0]), pa.array(k[:, 1])], ["id", "line_no", "channel", "source_id", "k1", "k2"])
+            out = pa.RecordBatch.from_arrays([ids, pa.array(no, pa.int32()), pa.array(nth, pa.int32()), pa.array(size), channel, source, pa.array(k[:, 0]), pa.array(k[:, 1])], ["id", "line_no", "nth", "long", "channel", "source_id", "k1", "k2"])
             yield out.filter(pc.and_(pc.is_valid(channel), pc.is_valid(ids)))
 
     scan = spread(clips.select("id", F.col("source_id").cast("long").alias("source_id"), "channel", "text"))
-    return scan.mapInArrow(run, "id string, line_no int, channel string, source_id long, k1 long, k2 long")
+    return scan.mapInArrow(run, "id string, line_no int, nth int, long boolean, channel string, source_id long, k1 long, k2 long")
 
 
 NODE = ["channel", "k1", "k2"]
@@ -65,22 +73,44 @@ def repeated(lines: DataFrame, support: int = 5) -> tuple[DataFrame, DataFrame]:
     """(nodes, occurrences): lines held by at least ``support`` recordings of their channel with that number, and each of their places.
     Null recordings support nothing, but their lines are places too."""
     lines = lines.distinct()
-    by_source = lines.groupBy(*NODE, "source_id").agg(F.count("*").alias("rows"))
-    nodes = by_source.groupBy(*NODE).agg(F.count("source_id").alias("n_sources"), F.sum("rows").alias("n_rows")).filter(F.col("n_sources") >= support)
+    by_source = lines.groupBy(*NODE, "source_id").agg(F.count("*").alias("rows"), F.first("long").alias("long"))
+    nodes = by_source.groupBy(*NODE).agg(F.count("source_id").alias("n_sources"), F.sum("rows").alias("n_rows"), F.first("long").alias("long")).filter(F.col("n_sources") >= support)
     nodes = materialize(nodes, "nodes")
-    return nodes, hot_split_join(lines, nodes, NODE, "n_rows")
-
-
-def blocks(occurrences: DataFrame, support: int = 5) -> DataFrame:
-    """Boilerplate blocks: each kept line (channel, k1, k2) with its block, the least line key of its component under kept edges."""
-    name = lambda p="": F.concat_ws(":", F.col(f"{p}channel"), F.lpad(F.hex(f"{p}k1"), 16, "0"), F.lpad(F.hex(f"{p}k2"), 16, "0"))
-    kept = occurrences.withColumn("node", name())
-    w = Window.partitionBy("id").orderBy("line_no")
-    follows = kept.withColumn("next", F.lead("node").over(w)).withColumn("next_no", F.lead("line_no").over(w)).filter("next_no = line_no + 1 AND source_id is not null")
-    edges = follows.select("node", "next", "source_id").distinct().groupBy("node", "next").agg(F.count("*").alias("n")).filter(F.col("n") >= support)
-    roots = components(edges, "node", "next")
-    nodes = kept.select(*NODE, "node").distinct()
-    return nodes.join(roots, "node", "left").select(*NODE, F.coalesce("root", "node").alias("block"))
+    return nodes, materialize(hot_split_join(lines, nodes.drop("long", "n_sources"), NODE, "n_rows"), "occurrences")
+
+
+def edges(occurrences: DataFrame, support: int = 5) -> DataFrame:
+    """(node, next): repeated lines that follow each other in texts of at least ``support`` recordings, lines without words between them aside."""
+    w = Window.partitionBy("id", "channel").orderBy("line_no")  # the lines of one text
+    follows = occurrences.withColumn("node", _name()).withColumn("next", F.lead("node").over(w)).withColumn("next_nth", F.lead("nth").over(w)).filter("next_nth = nth + 1 AND source_id is not null")
+    return follows.select("node", "next", "source_id").distinct().groupBy("node", "next").agg(F.count("*").alias("n")).filter(F.col("n") >= support).select("node", "next")
+
+
+def _name():  # noqa: ANN202
+    return F.concat_ws(":", F.col("channel"), F.lpad(F.hex("k1"), 16, "0"), F.lpad(F.hex("k2"), 16, "0"))
+
+
+def blocks(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """Each repeated line with its boilerplate block, the least node of its component: (channel, k1, k2, long, n_sources, n_rows, block). Components without a long line are none."""
+    roots = components(links, "node", "next")
+    found = materialize(nodes.withColumn("node", _name()).join(roots, "node", "left").select(*nodes.columns, F.coalesce("root", "node").alias("block")), "blocks")
+    return found.join(found.groupBy("block").agg(F.max("long").alias("any")).filter("any").select("block"), "block", "left_semi").select(*nodes.columns, "block")
+
+
+def members(occurrences: DataFrame, found: DataFrame) -> DataFrame:
+    """Each place of a line of a block. Short lines are places only in a row of lines of their block that has a long one."""
+    own = hot_split_join(occurrences, materialize(found.select(*NODE, "block", "n_rows"), "members"), NODE, "n_rows")
+    w = Window.partitionBy("id", "channel").orderBy("line_no")
+    parted = F.coalesce((F.lag("block").over(w) != F.col("block")) | (F.lag("nth").over(w) != F.col("nth") - 1), F.lit(True))
+    rows = own.withColumn("row", F.sum(parted.cast("int")).over(w))
+    return rows.withColumn("whole", F.max("long").over(Window.partitionBy("id", "channel", "row"))).filter("whole").drop("row", "whole")
+
+
+def boilerplate(clips: DataFrame, support: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(blocks, places of their lines) of all texts of ``clips``."""
+    nodes, occurrences = repeated(materialize(line_rows(clips), "lines"), support)
+    found = materialize(blocks(nodes, edges(occurrences, support)), "blocks")
+    return found, members(occurrences, found)
 
 
 def cleaned(clips: DataFrame, occurrences: DataFrame) -> DataFrame:
