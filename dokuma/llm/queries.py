@@ -66,27 +66,20 @@ def p3_counts(spark: SparkSession, sf: str) -> DataFrame:
     return found.join(channels, "held_id").groupBy(F.col("held_split").alias("split"), "channel").agg(F.countDistinct("held_id").alias("n_clips"), F.countDistinct("train_id").alias("n_train"))
 
 
-def _lines(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    from ..session import materialize
-
-    nodes, places = lines.repeated(materialize(lines.line_rows(table(spark, sf, "clips")), "lines"))
-    return nodes, places
-
-
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    return _lines(spark, sf)[1].select("id", "line_no").distinct()
+    return lines.boilerplate(table(spark, sf, "clips"))[1].filter("long").select("id", "line_no").distinct()
 
 
 def p4_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    """Boilerplate blocks by channel: number of lines in them, and of their places."""
-    places = _lines(spark, sf)[1]
-    b = lines.blocks(places)
-    counts = places.groupBy(*lines.NODE).agg(F.count("*").alias("n"))
-    return b.join(counts, lines.NODE).groupBy("channel", "block").agg(F.count("*").alias("n_lines"), F.sum("n").alias("n_places")).select("channel", F.sha2("block", 256).alias("block"), "n_lines", "n_places")
+    """Boilerplate blocks by channel: their first place (by id and line), number of lines in them, and of their places."""
+    blocks, places = lines.boilerplate(table(spark, sf, "clips"))
+    first = places.groupBy("channel", "block").agg(F.min(F.struct("id", "line_no")).alias("first"), F.count("*").alias("n_places"))
+    sizes = blocks.groupBy("channel", "block").agg(F.count("*").alias("n_lines"), F.count_if("long").alias("n_long"))
+    return sizes.join(first, ["channel", "block"]).select("channel", F.col("first.id").alias("first_id"), F.col("first.line_no").alias("first_line"), "n_lines", "n_long", "n_places")
 
 
 def p4_clean(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.cleaned(table(spark, sf, "clips"), _lines(spark, sf)[1])
+    return lines.cleaned(table(spark, sf, "clips"), lines.boilerplate(table(spark, sf, "clips"))[1])
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,8 +119,8 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p8_near(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents with a passage of an item within one word edit, with the longest exact run found."""
-    return leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items")).groupBy("doc_id", "item_id").agg(F.max("run").alias("run"), F.min("distance").alias("distance"))
+    """Documents with a passage of an item within one word edit, and the least distance."""
+    return leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
 
 
 def p8_items(spark: SparkSession, sf: str) -> DataFrame:

@@ -47,6 +47,27 @@ P4 = f"""WITH l AS (SELECT id, {channel()} AS ch, source_id, unnest(string_split
     k AS (SELECT id, ch, source_id, CAST(line_no AS INTEGER) AS line_no, {words("line")} AS ws FROM l),
     m AS (SELECT id, ch, source_id, line_no, regexp_replace(array_to_string(ws, ' '), '\\p{{Nd}}+', '0', 'g') AS key FROM k WHERE len(ws) >= 4)
     SELECT DISTINCT id, line_no FROM m WHERE (ch, key) IN (SELECT (ch, key) FROM m WHERE source_id IS NOT NULL GROUP BY ch, key HAVING count(DISTINCT source_id) >= 5)""".replace("\\\\", "\\")
+# Repeated lines as a graph: nodes, edges of consecutive lines, reachable nodes, blocks with a long line, and their places in rows.
+BLOCKS = rf"""WITH RECURSIVE l AS (SELECT id, {channel()} AS ch, source_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM ({ONCE}) WHERE channel IS NOT NULL AND text IS NOT NULL),
+    k AS (SELECT id, ch, source_id, line_no, {words("line")} AS ws FROM l),
+    m AS (SELECT id, ch, source_id, CAST(line_no AS INTEGER) AS line_no, len(ws) >= 4 AS long, regexp_replace(array_to_string(ws, ' '), '\p{{Nd}}+', '0', 'g') AS key, row_number() OVER (PARTITION BY id ORDER BY line_no) AS nth FROM k WHERE len(ws) > 0),
+    nodes AS (SELECT ch, key, long FROM m WHERE source_id IS NOT NULL GROUP BY ALL HAVING count(DISTINCT source_id) >= 5),
+    occ AS (SELECT m.* FROM m JOIN nodes USING (ch, key)),
+    nx AS (SELECT *, lead(key) OVER w AS next, lead(nth) OVER w AS next_nth FROM occ WINDOW w AS (PARTITION BY id ORDER BY line_no)),
+    e AS (SELECT ch, key AS a, next AS b FROM nx WHERE next_nth = nth + 1 AND source_id IS NOT NULL GROUP BY ALL HAVING count(DISTINCT source_id) >= 5),
+    s AS (SELECT ch, a, b FROM e UNION SELECT ch, b, a FROM e),
+    r(ch, key, reach) AS (SELECT ch, key, key FROM nodes UNION SELECT r.ch, r.key, s.b FROM r JOIN s ON r.ch = s.ch AND r.reach = s.a),
+    blk AS (SELECT ch, key, min(reach) AS block FROM r GROUP BY ch, key),
+    ok AS (SELECT ch, block FROM blk JOIN nodes USING (ch, key) GROUP BY ch, block HAVING bool_or(long)),
+    own AS (SELECT occ.*, block FROM occ JOIN blk USING (ch, key) JOIN ok USING (ch, block)),
+    cut AS (SELECT *, coalesce(lag(block) OVER w <> block OR lag(nth) OVER w <> nth - 1, true) AS new FROM own WINDOW w AS (PARTITION BY id ORDER BY line_no)),
+    run AS (SELECT *, sum(new::INT) OVER (PARTITION BY id ORDER BY line_no) AS run FROM cut),
+    places AS (SELECT * FROM (SELECT *, bool_or(long) OVER (PARTITION BY id, run) AS whole FROM run) WHERE whole)""".replace("\\\\", "\\")
+P4_BLOCKS = f"""{BLOCKS}, n AS (SELECT ch, block, count(*) AS n_lines, count(*) FILTER (long) AS n_long FROM blk JOIN nodes USING (ch, key) JOIN ok USING (ch, block) GROUP BY ch, block),
+    p AS (SELECT ch, block, min(id) AS first_id, arg_min(line_no, (id, line_no)) AS first_line, count(*) AS n_places FROM places GROUP BY ch, block)
+    SELECT ch AS channel, first_id, first_line, n_lines, n_long, n_places FROM n JOIN p USING (ch, block)"""
+P4_CLEAN = f"""{BLOCKS}, gone AS (SELECT id, list(line_no) AS gone, CAST(count(*) AS INTEGER) AS n FROM places GROUP BY id)
+    SELECT c.id, CASE WHEN n IS NULL THEN text ELSE coalesce(array_to_string(list_filter(string_split(text, chr(10)), lambda x, i: NOT list_contains(gone, i - 1)), chr(10)), '') END AS text_clean, coalesce(n, 0) AS n_removed FROM ({ONCE}) c LEFT JOIN gone USING (id)"""
 P5 = f"""WITH RECURSIVE e AS (SELECT DISTINCT source_id AS s, {channel()} AS c FROM ({ONCE}) WHERE source_id IS NOT NULL AND channel IS NOT NULL),
     n AS (SELECT DISTINCT a.c AS a, b.c AS b FROM e a JOIN e b USING (s) WHERE a.c <> b.c),
     r(a, b) AS (SELECT a, b FROM n UNION SELECT r.a, n.b FROM r JOIN n ON r.b = n.a)
@@ -65,6 +86,18 @@ P8 = rf"""WITH d AS (SELECT doc_id, regexp_extract_all({FOLD("text")}, '[\p{{L}}
     h AS (SELECT doc_id, k, unnest([array_to_string(w[j : j + k - 1], ' ') for j in range(1, len(w) - k + 2)]) AS s FROM d, ks WHERE len(w) >= k)
     SELECT DISTINCT doc_id, item_id FROM h JOIN g USING (k, s)"""
 
+# One edit: a word replaced (both with that place starred), missing from the document, or added to it.
+P8_NEAR = rf"""WITH d AS (SELECT doc_id, regexp_extract_all({FOLD("text")}, '[\p{{L}}\p{{N}}]+') AS w FROM documents WHERE text IS NOT NULL),
+    i AS (SELECT item_id, regexp_extract_all({FOLD("text")}, '[\p{{L}}\p{{N}}]+') AS w FROM eval_items WHERE text IS NOT NULL),
+    p AS (SELECT item_id, least(len(w), 12) AS m, unnest([w[j : j + least(len(w), 12) - 1] for j in range(1, len(w) - least(len(w), 12) + 2)]) AS r FROM i WHERE len(w) > 0),
+    ms AS (SELECT DISTINCT m FROM p), ks AS (SELECT m AS k FROM ms UNION SELECT m - 1 FROM ms WHERE m > 1 UNION SELECT m + 1 FROM ms WHERE m > 1),
+    h AS (SELECT doc_id, k, unnest([w[j : j + k - 1] for j in range(1, len(w) - k + 2)]) AS r FROM d, ks WHERE len(w) >= k),
+    pk AS (SELECT item_id, m, 0 AS kind, 0 AS j, r FROM p UNION ALL SELECT item_id, m, 1, j, r[1 : j - 1] || ['*'] || r[j + 1 :] FROM p, range(1, 13) t(j) WHERE m > 1 AND j <= m
+      UNION ALL SELECT item_id, m, 2, 0, r[1 : j - 1] || r[j + 1 :] FROM p, range(1, 13) t(j) WHERE m > 1 AND j <= m UNION ALL SELECT item_id, m, 3, 0, r FROM p WHERE m > 1),
+    hk AS (SELECT doc_id, k AS m, 0 AS kind, 0 AS j, r FROM h UNION ALL SELECT doc_id, k, 1, j, r[1 : j - 1] || ['*'] || r[j + 1 :] FROM h, range(1, 13) t(j) WHERE j <= k AND k IN (SELECT m FROM ms)
+      UNION ALL SELECT doc_id, k + 1, 2, 0, r FROM h UNION ALL SELECT doc_id, k - 1, 3, 0, r[1 : j - 1] || r[j + 1 :] FROM h, range(2, 13) t(j) WHERE j < k)
+    SELECT doc_id, item_id, CAST(min(least(kind, 1)) AS BIGINT) AS distance FROM (SELECT doc_id, m, kind, j, array_to_string(r, ' ') AS s FROM hk) JOIN (SELECT item_id, m, kind, j, array_to_string(r, ' ') AS s FROM pk) USING (m, kind, j, s) GROUP BY 1, 2"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1, "p2_found": P2, "p3_found": P3, "p4_found": P4, "p5_found": P5, "p6_percentiles": P6, "p8_found": P8, "p8_items": f"SELECT item_id, count(*) AS n_documents FROM ({P8}) GROUP BY item_id"}
+    return {"p1_found": P1, "p2_found": P2, "p3_found": P3, "p4_found": P4, "p4_blocks": P4_BLOCKS, "p4_clean": P4_CLEAN, "p5_found": P5, "p6_percentiles": P6, "p8_found": P8, "p8_near": P8_NEAR, "p8_items": f"SELECT item_id, count(*) AS n_documents FROM ({P8}) GROUP BY item_id"}

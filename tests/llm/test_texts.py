@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -102,16 +103,34 @@ def test_leaks_empty(spark):
     assert rows(leakage.exact_leaks(documents(spark, []), spark.createDataFrame([(1, "bir iki")], "item_id long, text string"))) == []
 
 
-def test_blocks_of_items(spark, monkeypatch):
+def test_many_items_are_joined_by_shuffle(spark, monkeypatch):
     docs, items = corpus(4)
     tests = spark.createDataFrame(items, "item_id long, text string")
-    want = {tuple(r) for r in leakage.exact_leaks(documents(spark, docs), tests).collect()}
-    monkeypatch.setattr(leakage, "BLOCK", 9)
-    assert {tuple(r) for r in leakage.exact_leaks(documents(spark, docs), tests).collect()} == want
+    want = {tuple(r) for r in leakage.leaks(documents(spark, docs), tests).collect()}
+    monkeypatch.setattr(leakage, "FEW", 0)
+    assert {tuple(r) for r in leakage.leaks(documents(spark, docs), tests).collect()} == want and want
+
+
+def test_every_place_of_an_edit(spark):
+    """Passages of twelve words from any place of an item, with one word replaced, dropped or added anywhere: all are found."""
+    a = [f"w{i}" for i in range(30)]
+    edits = {"replaced": lambda p, j: p[:j] + ["x"] + p[j + 1 :], "dropped": lambda p, j: p[:j] + p[j + 1 :], "added": lambda p, j: p[: j + 1] + ["x"] + p[j + 1 :]}
+    docs = [["u"] * 3 + e(a[o : o + 12], j) + ["v"] * 3 for e in edits.values() for o in range(12) for j in range(12)]
+    tests = spark.createDataFrame([(7, " ".join(a))], "item_id long, text string")
+    got = {r.doc_id for r in leakage.leaks(documents(spark, [(i, "s", " ".join(d)) for i, d in enumerate(docs)]), tests).collect()}
+    assert got == set(range(3 * 144))
+
+
+def test_myers_rejects(spark):
+    """Documents that hold a whole piece, but no passage within the budget, are candidates that only the distance drops."""
+    a = [f"w{i}" for i in range(12)]
+    tests = spark.createDataFrame([(7, " ".join(a))], "item_id long, text string")
+    docs = documents(spark, [(1, "s", " ".join(a[:6] + ["x"] * 6)), (2, "s", " ".join(a[:6] + ["x"] + a[7:]))])
+    assert {tuple(r) for r in leakage.leaks(docs, tests).collect()} == {(2, 7, 1)} and not leakage.exact_leaks(docs, tests).collect()
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.integers(0, 3), min_size=1, max_size=80), st.lists(st.integers(0, 3), max_size=90))
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=64), st.lists(st.integers(0, 3), max_size=90))
 def test_myers(p, t):
     row = list(range(len(p) + 1))
     best = row[-1]
@@ -121,7 +140,7 @@ def test_myers(p, t):
             new.append(min(row[i] + (x != c), row[i + 1] + 1, new[i] + 1))
         row = new
         best = min(best, row[-1])
-    assert leakage.myers(p, t)[0] == best
+    assert leakage.myers(np.array([p, p], np.uint64), np.array([t, t], np.uint64).reshape(2, len(t))).tolist() == [best, best]
 
 
 CASES = [
