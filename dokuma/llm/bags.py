@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import words
-from ..session import spread
+from ..session import materialize, spread
 
 CACHE = 1_000_000
-BUCKET_BITS = 18
+BUCKET_BITS, HASHES = 18, 3
 BUCKETS = 1 << BUCKET_BITS
+CROWD = 5_000
 U = np.uint64
 
 
@@ -89,8 +90,8 @@ def bags(df: DataFrame, id_col: str, text: Column, least_words: int) -> DataFram
             bit = U(1) << (f >> U(56) & U(63))
             wide = [np.bitwise_or.reduceat(np.where(f >> U(62) == j, bit, U(0)), starts) for j in range(4)]
             bm = wide[0] | wide[1] | wide[2] | wide[3]
-            offsets = np.append(starts, len(f)).astype(np.int32) * 8
-            blob = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(f)])
+            offsets = np.append(starts, len(f)) * 8  # 64 bits: a batch may hold more than 2**31 bytes of features
+            blob = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(f)])
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(n.astype(np.int32)), *[pa.array(x.view(np.int64)) for x in (bm, *wide)], blob], ["id", "k1", "k2", "n", "bm", "w0", "w1", "w2", "w3", "feats"])
 
     two = spread(df.select(F.col(id_col).cast("string").alias("id"), text.alias("text")))
@@ -108,28 +109,51 @@ def blobs(column: pa.Array, dtype: type = np.uint64) -> tuple[np.ndarray, np.nda
     return data, np.diff(offsets).astype(np.int64) // np.dtype(dtype).itemsize
 
 
-def bucket(f: np.ndarray) -> np.ndarray:
-    return (f >> U(64 - BUCKET_BITS)).astype(np.int64)
+def buckets(f: np.ndarray) -> np.ndarray:
+    """(HASHES, n): the bucket of each feature in each of the tables of a count-min sketch."""
+    return np.stack([(mix(f, 50 + i) >> U(64 - BUCKET_BITS)).astype(np.int64) + i * BUCKETS for i in range(HASHES)])
+
+
+def look_up(table: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """The sketch's value of each feature: the least of its buckets, an upper bound that is exact unless all of them are shared."""
+    return table[buckets(f)].min(0)
 
 
 def frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
-    """How many texts have a feature of each bucket (an upper bound by collisions), over all texts; and the number of texts."""
+    """A count-min sketch of how many texts have each feature, over all texts; and the number of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, rows = np.zeros(BUCKETS, np.int64), 0
+        count, rows = np.zeros(HASHES * BUCKETS, np.int64), 0
         for b in batches:
-            count += np.bincount(bucket(blobs(b.column(0))[0]), minlength=BUCKETS)
+            f = blobs(b.column(0))[0]
+            if len(f):
+                count += np.bincount(buckets(f).reshape(-1), minlength=HASHES * BUCKETS)
             rows += b.num_rows
         at = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(count[at], rows))], ["bucket", "n"])
 
-    got = texts.select("feats").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # BUCKETS rows at most
-    out = np.zeros(BUCKETS, np.int64)
+    got = texts.select("feats").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # HASHES * BUCKETS rows at most
+    out = np.zeros(HASHES * BUCKETS, np.int64)
     own = got[got.bucket >= 0]
     out[own.bucket.to_numpy()] = own.n.to_numpy()
     return out, int(got[got.bucket < 0].n.sum())
 
 
+def parts(rows: DataFrame, key: str, crowd: int | None = None) -> DataFrame:
+    """``rows`` with ``parts``: into how many shares the pairs of its key are dealt, 1 for keys of at most ``crowd`` rows (``CROWD``). The crowded keys are few: a
+    ``crowd``-th of the rows at most."""
+    crowd = crowd or CROWD
+    many = materialize(rows.groupBy(key).agg(F.count("*").alias("rows")).filter(F.col("rows") > crowd).select(key, F.least(F.lit(256), F.ceil(F.col("rows") / crowd)).cast("int").alias("parts")), "crowded")
+    n = many.count()
+    return rows.withColumn("parts", F.lit(1)) if not n else rows.join(F.broadcast(many) if n <= 500_000 else many, key, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+
+
+def dealt(rows: DataFrame, one: bool) -> DataFrame:
+    """A side of a join of ``parts``, with ``part``: each row in one share, or in all of them."""
+    part = F.pmod(F.xxhash64("k1"), F.col("parts")).cast("int") if one else F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    return rows.withColumn("part", part)
+
+
 def overlaps(a: pa.Array, b: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each pair of feature blobs: shared features, and the sizes of both."""
     fa, na = blobs(a)

@@ -1,8 +1,8 @@
 """Problem 2: capping records per dominant contributor.
 
-Stratum-aware cap: a contributor's cap is split over its strata (topics, periods) in proportion to their sizes by the
-largest-remainder method; slots that a stratum cannot fill go to the others in the same way; inside each stratum the best records by
-quality stay. Only contributors above their cap are touched. Their strata are ranked by range partitioning (``ranked``), so
+Stratum-aware cap: a contributor's cap is split over its strata (topics, periods) by the largest-remainder method, in proportion to the weight of the strata in the
+whole collection (``balanced``: what is kept of a dominant contributor then mirrors all records) or in the contributor; slots that a stratum cannot fill go
+to the others in the same way; inside each stratum the best records by quality stay. Only contributors above their cap are touched. Their strata are ranked by range partitioning (``ranked``), so
 neither a contributor nor a stratum is ever gathered into one task.
 """
 
@@ -20,31 +20,32 @@ from ..operators.skew import fresh, ranked
 from ..session import materialize, spread
 
 
-def apportion(sizes: list[int], cap: int) -> list[int]:
-    """Slots of each stratum: proportional to ``sizes``, none beyond its size; largest remainders first, ties to the larger, then earlier stratum."""
-    slots = [0] * len(sizes)
+def apportion(sizes: list[int], cap: int, weights: list[int] | None = None) -> list[int]:
+    """Slots of each stratum: in proportion to ``weights`` (positive; the sizes by default), none beyond its size. Strata whose quota exceeds their size are filled and
+    leave the rest to the others, until none does; then quotas are rounded down and the largest remainders get one more, ties to the heavier, then earlier stratum."""
+    weights = weights or sizes
+    slots, open_ = [0] * len(sizes), list(range(len(sizes)))
     left = min(cap, sum(sizes))
-    while left > 0:
-        open_ = [i for i, s in enumerate(sizes) if slots[i] < s]
-        total = sum(sizes[i] for i in open_)
-        share = {i: Fraction(left * sizes[i], total) for i in open_}
-        given = {i: min(int(share[i]), sizes[i] - slots[i]) for i in open_}
-        rest = left - sum(int(share[i]) for i in open_)
-        for i in sorted(open_, key=lambda i: (-(share[i] - int(share[i])), -sizes[i], i)):
-            if rest and slots[i] + given[i] < sizes[i]:
-                given[i] += 1
-                rest -= 1
-        for i in open_:
-            slots[i] += given[i]
-        left = min(cap, sum(sizes)) - sum(slots)
+    while full := [i for i in open_ if left * weights[i] > sizes[i] * sum(weights[j] for j in open_)]:
+        for i in full:
+            slots[i] = sizes[i]
+        left -= sum(sizes[i] for i in full)
+        open_ = [i for i in open_ if i not in full]
+    total = sum(weights[i] for i in open_)
+    for i in open_:
+        slots[i] = left * weights[i] // total
+    rest = left - sum(slots[i] for i in open_)
+    for i in sorted(open_, key=lambda i: (-(left * weights[i] % total), -weights[i], i))[:rest]:
+        slots[i] += 1
     return slots
 
 
-def over_cap(records: DataFrame, contributor: str, quality: list[Column], share: float | None = None, cap: int | None = None, stratum: str | None = None) -> DataFrame:
+def over_cap(records: DataFrame, contributor: str, quality: list[Column], share: float | None = None, cap: int | None = None, stratum: str | None = None, balanced: bool = False) -> DataFrame:
     """Records that go when each contributor keeps at most ``cap`` records, or floor(``share`` of all records that have a contributor).
 
     ``records`` holds each record once. A null contributor is no contributor and loses nothing. A null stratum is a stratum
-    of its own. ``quality``: best first, made total by its last expression. Empty input: empty result."""
+    of its own. ``quality``: best first, made total by its last expression. ``balanced``: strata weigh what they weigh among all records with a contributor.
+    Empty input: empty result."""
     st, quota, rank = fresh(records, "_stratum", "_slots", "_rank")
     records = materialize(records, "records")  # read twice: for the sizes, and to rank
     has = records.filter(F.col(contributor).isNotNull()).withColumn(st, F.col(stratum).cast("string") if stratum else F.lit(None).cast("string"))
@@ -57,10 +58,12 @@ def over_cap(records: DataFrame, contributor: str, quality: list[Column], share:
 
     def plan(t: pa.Table) -> pa.Table:
         rows = sorted(t.to_pylist(), key=lambda r: (r["part"] is not None, r["part"] or ""))
-        slots = apportion([r["size"] for r in rows], cap)
+        slots = apportion([r["size"] for r in rows], cap, [r["weight"] for r in rows])
         return pa.table({"owner": pa.array([r["owner"] for r in rows], t.schema.field("owner").type), "part": pa.array([r["part"] for r in rows], pa.string()), "slots": pa.array(slots, pa.int64()), "size": pa.array([r["size"] for r in rows], pa.int64())})
 
     kind = dict(records.dtypes)[contributor]
+    weights = sizes.groupBy("part").agg(F.sum("size").alias("weight")) if balanced else None
+    sizes = sizes.alias("s").join(weights.alias("w"), F.expr("s.part <=> w.part")).select("s.*", "weight") if balanced else sizes.withColumn("weight", F.col("size"))
     slots = sizes.join(heavy, "owner").groupBy("owner").applyInArrow(plan, f"owner {kind}, part string, slots long, size long")
     cut = materialize(slots.filter("slots < size").drop("size"), "slots")
     # Contributors above a share s are fewer than 1/s, so their strata are few; they are broadcast only while they are.

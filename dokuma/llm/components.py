@@ -1,8 +1,9 @@
 """Connected components by distributed union-find.
 
-Every task first reduces its edges to a local forest; forests are merged level by level over ever fewer tasks, each
-level again keeping only forest edges, so what is passed on never exceeds one edge a node. When a level no longer shrinks what it gets,
-or its forest is too large for one task, the rest runs as alternating large-star and small-star rounds on the cluster
+Every task first reduces its edges to local forests; forests are merged level by level over ever fewer tasks, each
+level again keeping only forest edges, so what is passed on never exceeds one edge a node. Edges are dealt out evenly, whatever their
+ends, so a hub's star is spread like any other edges, and the number of tasks follows from the number of edges: each holds about ``TASK_EDGES`` at a time and starts
+a new forest beyond. When a level no longer shrinks what it gets, the rest runs as alternating large-star and small-star rounds on the cluster
 (each round written out), which hold for any size. No links ever come to the driver.
 """
 
@@ -14,13 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import hot_split_join
 from ..session import materialize
 
 TASK_EDGES = 500_000
 
 
-def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Union-find over one task's edges; one edge (node, least node of its tree) per node that isn't least."""
+def forest(batches: Iterator[pa.RecordBatch], most: int = TASK_EDGES) -> Iterator[pa.RecordBatch]:
+    """Union-find over one task's edges; one edge (node, least node of its tree) per node that isn't least. Beyond ``most`` nodes the forest is passed on and a new one begun."""
     parent: dict = {}
 
     def find(x):  # noqa: ANN001, ANN202
@@ -31,6 +33,12 @@ def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parent[x], x = root, parent.get(x, x)
         return root
 
+    def edges(schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        pairs = [(x, r) for x in parent if (r := find(x)) != x]
+        parent.clear()
+        for i in range(0, len(pairs), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c, schema.field(0).type) for c in zip(*pairs[i : i + 50_000])], ["a", "b"])
+
     schema = None
     for b in batches:
         schema = b.schema
@@ -39,25 +47,24 @@ def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if u != v:
                 parent[max(u, v)] = min(u, v)
                 parent.setdefault(min(u, v), min(u, v))
-    pairs = [(x, find(x)) for x in parent]
-    pairs = [(x, r) for x, r in pairs if x != r]
-    for i in range(0, len(pairs), 50_000):
-        part = pairs[i : i + 50_000]
-        yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in part], schema.field(0).type), pa.array([p[1] for p in part], schema.field(1).type)], ["a", "b"])
+        if len(parent) > most:
+            yield from edges(schema)
+    if parent:
+        yield from edges(schema)
 
 
 def stars(edges: DataFrame) -> DataFrame:
     """Alternating large-star and small-star until nothing changes. Edges (a, b) with b < a on return: each node and its root.
-    A hot node's neighbours are only aggregated (least) and joined by key, never gathered."""
+    A hot node's neighbours are only aggregated (least) and joined by ``hot_split_join``, never gathered."""
     seen = None
     while True:
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        least = materialize(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n"), "least")
+        large = hot_split_join(both.filter("b > a"), least, ["a"], "n").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         large = materialize(large, "large")
         own = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = own.groupBy("a").agg(F.min("b").alias("m"))
-        small = own.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").unionByName(low.select("a", F.col("m").alias("b"))).distinct()
+        low = materialize(own.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "low")
+        small = hot_split_join(own, low, ["a"], "n").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").unionByName(low.select("a", F.col("m").alias("b"))).distinct()
         edges = materialize(small, "small")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(now) == seen:
@@ -70,19 +77,16 @@ def components(edges: DataFrame, a: str, b: str, task_edges: int = TASK_EDGES) -
     once, other columns too are ignored; an empty input gives an empty result."""
     e = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a is not null and b is not null and a <> b")
     schema = e.schema
-    level = materialize(e.mapInArrow(forest, schema), "forest")
-    width, count = 64, level.count()
-    while count > 0:
-        if count <= task_edges:
-            width = 1
-        trees = level.repartition(width) if width == 1 else level.repartition(width, "b")
-        level = materialize(trees.mapInArrow(forest, schema), "forest")
-        if width == 1:
-            break
-        width, before, count = max(1, width // 4), count, level.count()
-        if count > task_edges and (width == 1 or count > 0.9 * before):
-            level = stars(level)
-            break
+    merged = lambda x: materialize(x.mapInArrow(lambda it: forest(it, task_edges), schema), "forest")
+    level = merged(e)
+    count = level.count()
+    while count > task_edges:
+        before, level = count, merged(level.repartition(-(-2 * count // task_edges)))  # dealt out evenly, not by key
+        count = level.count()
+        if task_edges < count > 0.9 * before:
+            level, count = stars(level), 0
+    if count:
+        level = merged(level.coalesce(1))
     nodes = level.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return nodes.unionByName(level.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
 

@@ -1,10 +1,11 @@
 """Problem 3: same or near-same texts across splits, by a weighted cosine join.
 
 Texts are unit vectors of term weights over the features of ``bags``. Terms are put into one global order, rare first. Frequencies
-and largest weights are kept per hash bucket in tables of fixed size (``BUCKETS``), counted over all texts. The tail of a vector stays out of the
+and largest weights are kept in count-min sketches of fixed size, over all texts: upper bounds, exact for all but a few terms. The tail of a vector stays out of the
 inverted lists while no partner could reach the threshold from it alone: neither by its residual norm nor by the largest weights
 of the other side. Any pair at or above the threshold then shares a listed term, and at the first one its product plus
-the product of both residual norms reaches the threshold; pairs below are dropped inside the join. What is left gets the exact dot product.
+the product of both residual norms reaches the threshold; pairs below are dropped inside the join, which deals the pairs of a long list out over several
+tasks. What is left gets the exact dot product.
 
 With weighting "unit" all terms weigh the same, and multiset Jaccard >= j implies cosine >= 2j/(1+j).
 """
@@ -24,7 +25,7 @@ from . import bags
 def raw_weights(f: np.ndarray, df: np.ndarray, n_texts: int, weighting: str) -> np.ndarray:
     if weighting == "unit":
         return np.ones(len(f))
-    return np.log1p(n_texts / np.maximum(df[bags.bucket(f)], 1))
+    return np.log1p(n_texts / np.maximum(bags.look_up(df, f), 1))
 
 
 def unit(f: np.ndarray, n: np.ndarray, df: np.ndarray, n_texts: int, weighting: str) -> np.ndarray:
@@ -34,25 +35,27 @@ def unit(f: np.ndarray, n: np.ndarray, df: np.ndarray, n_texts: int, weighting:
 
 
 def largest(texts: DataFrame, df, n_texts: int, weighting: str) -> dict[bool, np.ndarray]:  # noqa: ANN001
-    """Largest weight of any text per bucket, for each side."""
+    """Largest weight of any text per bucket of the sketch, for each side."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        most = np.zeros((2, bags.BUCKETS), np.float64)
+        size = bags.HASHES * bags.BUCKETS
+        most = np.zeros((2, size), np.float64)
         for b in batches:
             f, n = bags.blobs(b.column(0))
             if not len(n):
                 continue
             w = unit(f, n, df.value, n_texts, weighting)
             held = np.repeat(np.asarray(b.column(1)).astype(np.int64), n)
-            np.maximum.at(most.reshape(-1), held * bags.BUCKETS + bags.bucket(f), w)
+            for at in bags.buckets(f):
+                np.maximum.at(most.reshape(-1), held * size + at, w)
         for s in (0, 1):
             at = np.flatnonzero(most[s])
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), s)), pa.array(at), pa.array(most[s][at])], ["side", "bucket", "w"])
 
-    got = texts.select("feats", F.col("held").cast("int")).mapInArrow(run, "side long, bucket long, w double").groupBy("side", "bucket").agg(F.max("w").alias("w")).toPandas()  # 2 BUCKETS rows at most
+    got = texts.select("feats", F.col("held").cast("int")).mapInArrow(run, "side long, bucket long, w double").groupBy("side", "bucket").agg(F.max("w").alias("w")).toPandas()  # 2 HASHES BUCKETS rows at most
     out = {}
     for s in (0, 1):
-        out[bool(s)] = np.zeros(bags.BUCKETS)
+        out[bool(s)] = np.zeros(bags.HASHES * bags.BUCKETS)
         own = got[got.side == s]
         out[bool(s)][own.bucket.to_numpy()] = own.w.to_numpy()
     return out
@@ -66,10 +69,10 @@ def listed(batches: Iterator[pa.RecordBatch], df, most, n_texts: int, weighting:
             continue
         w = unit(f, n, df.value, n_texts, weighting)
         doc = np.repeat(np.arange(len(n)), n)
-        order = np.lexsort((f, df.value[bags.bucket(f)], doc))  # rare first within each text
+        order = np.lexsort((f, bags.look_up(df.value, f), doc))  # rare first within each text
         f, w = f[order], w[order]
         held = np.repeat(np.asarray(b.column("held")).astype(bool), n)
-        other = np.where(held, most.value[False][bags.bucket(f)], most.value[True][bags.bucket(f)])
+        other = np.where(held, bags.look_up(most.value[False], f), bags.look_up(most.value[True], f))
         ends = np.cumsum(n)
 
         def tail(x: np.ndarray) -> np.ndarray:
@@ -115,11 +118,12 @@ def cosine_join(texts: DataFrame, least: float, weighting: str = "unit", jaccard
     most = spark.sparkContext.broadcast(largest(texts, df, n_texts, weighting))
     classes = texts.select("k1", "k2", "held", "n", "bm", "feats").dropDuplicates(["k1", "k2", "held"])
     lists = materialize(classes.mapInArrow(lambda it: listed(it, df, most, n_texts, weighting, least), "f long, k1 long, w float, after float, n int, bm long, held boolean"), "lists")
-    a, b = lists.filter("held").alias("a"), lists.filter("not held").alias("b")
+    lists = bags.parts(lists, "f")
+    a, b = bags.dealt(lists.filter("held"), False).alias("a"), bags.dealt(lists.filter("not held"), True).alias("b")
     reach = F.expr(f"double(a.w) * b.w + double(a.after) * b.after >= {least - 1e-4}D")
     if jaccard is not None:
         reach = reach & bags.close_enough(jaccard)
-    pairs = a.join(b, (F.col("a.f") == F.col("b.f")) & reach).select(F.col("a.k1").alias("a1"), F.col("b.k1").alias("b1")).distinct()
+    pairs = a.join(b, (F.col("a.f") == F.col("b.f")) & (F.col("a.part") == F.col("b.part")) & reach).select(F.col("a.k1").alias("a1"), F.col("b.k1").alias("b1")).distinct()
     left = classes.filter("held").select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("feats").alias("fa"))
     right = classes.filter("not held").select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("feats").alias("fb"))
     full = pairs.join(left, "a1").join(right, "b1").select("a1", "a2", "fa", "b1", "b2", "fb")
@@ -131,7 +135,7 @@ def split_bags(clips: DataFrame, splits: DataFrame, least_words: int, text: str
     nulls and other splits take no part."""
     own = splits.select("id", F.lower(F.trim(F.regexp_replace("split", r"(?U)^\s+|\s+$", ""))).alias("split")).filter(F.col("split").isin(train, *held)).distinct()
     all_ = bags.bags(clips, "id", F.col(text), least_words)
-    return materialize(all_.join(own, "id").withColumn("held", F.col("split") != train), "split-bags")
+    return materialize(all_.join(own, "id").dropDuplicates(["id", "split"]).withColumn("held", F.col("split") != train), "split-bags")
 
 
 def overlaps(texts: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -1,13 +1,15 @@
 """Problem 5: splits that keep related records together.
 
 Records and the entities they name (source, channel) form a bipartite graph; distributed union-find (``components``) gives each
-entity its group. Groups are then assigned largest first, each to the split furthest below its target. Only groups
-of at least 1/10,000 of the total, and more than nothing, are dealt singly; others travel in at most 4,096 hash bundles, so the greedy loop
-sees at most 14,096 items at any size of data.
+entity its group. Groups are then dealt largest first, each to the split furthest below its target. For that the driver sees classes of groups of one
+size with their numbers, never the groups: sizes of at least 1/``SINGLE`` of the total count exactly, smaller ones to three digits (within 0.1 %), so there
+are at most ``SINGLE`` + 9,000 a power of ten classes at any size of data. The groups of a class are interchangeable: each gets its split from its rank in
+the class. Groups without weight are dealt by the shares of their number.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,11 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import channel_names
-from ..operators.skew import fresh, hot_split_join
+from ..operators.skew import fresh, hot_split_join, ranked
 from ..session import materialize
 from .components import components
 
-SINGLE, BUNDLES = 10_000, 4_096
+SINGLE = 10_000
 
 
 def named(clips: DataFrame) -> DataFrame:
@@ -47,15 +49,37 @@ def linked_pairs(roots: DataFrame, prefix: str) -> DataFrame:
     return own.alias("x").join(own.alias("y"), F.expr("x.root = y.root AND x.n < y.n")).select(F.col("x.n").alias("a"), F.col("y.n").alias("b"))
 
 
-def deal(sizes: list[tuple[str, int]], shares: dict[str, float]) -> dict[str, str]:
-    """Largest first, each to the split furthest below its target (relative to the total; ties: as listed)."""
-    total = sum(s for _, s in sizes)
-    have = dict.fromkeys(shares, 0.0)
-    out = {}
-    for name, size in sorted(sizes, key=lambda x: (-x[1], x[0])):
-        best = max(shares, key=lambda k: shares[k] * total - have[k])
-        have[best] += size
-        out[name] = best
+def shared(n: int, shares: dict[str, float]) -> dict[str, int]:
+    """``n`` by largest remainders of ``shares``."""
+    quota = {k: n * s / sum(shares.values()) for k, s in shares.items()}
+    out = {k: math.floor(q) for k, q in quota.items()}
+    for k in sorted(shares, key=lambda k: out[k] - quota[k])[: n - sum(out.values())]:
+        out[k] += 1
+    return out
+
+
+def deal(classes: list[tuple[float, int]], shares: dict[str, float]) -> list[dict[str, int]]:
+    """How many of the groups of each class (size, number) go to each split: largest first, each to the split furthest below its target (of the total; ties: as listed).
+    Many groups of one size are poured in at once, down to a common distance from the targets as single ones would reach, and the last few singly."""
+    lack = {k: s * sum(w * n for w, n in classes) / sum(shares.values()) for k, s in shares.items()}
+    out: list[dict[str, int]] = [{} for _ in classes]
+    for i in sorted(range(len(classes)), key=lambda i: -classes[i][0]):
+        size, left = classes[i]
+        if not size:
+            out[i] = shared(left, shares)
+            continue
+        given = dict.fromkeys(shares, 0)
+        if left > 8 * len(shares):
+            order = sorted(lack.values(), reverse=True)
+            level = max((sum(order[: j + 1]) - left * size) / (j + 1) for j in range(len(order)))  # to which the furthest ones sink
+            given = {k: max(0, math.floor((v - level) / size) - 1) for k, v in lack.items()}
+        for k, n in given.items():
+            lack[k] -= n * size
+        for _ in range(left - sum(given.values())):
+            best = max(shares, key=lack.__getitem__)
+            given[best] += 1
+            lack[best] -= size
+        out[i] = given
     return out
 
 
@@ -72,10 +96,19 @@ def assign(records: DataFrame, left: str, right: str, weight: str, shares: dict[
     grouped = hot_split_join(own, materialize(counts, "entities"), [key], "_n").drop(key)
     sums = materialize(grouped.groupBy("group_id").agg(F.sum(weight).alias("w"), F.count("*").alias("_n")), "groups")
     total = sums.agg(F.sum("w")).first()[0] or 0
-    bundle = F.concat(F.lit("b"), F.pmod(F.xxhash64("group_id"), F.lit(BUNDLES)))
-    item = F.when((F.col("w") > 0) & (F.col("w") >= total / SINGLE), F.concat(F.lit("g"), F.col("group_id"))).otherwise(bundle)
-    sums = sums.withColumn("item", item)
-    dealt = deal([(r.item, r.w or 0) for r in sums.groupBy("item").agg(F.sum("w").alias("w")).collect()], shares)  # SINGLE + BUNDLES rows at most
-    table = spark.createDataFrame(list(dealt.items()) or [("", "")], "item string, split string")
-    splits = sums.join(table, "item").select("group_id", "split", "_n")
+    step = F.pow(F.lit(10.0), F.greatest(F.floor(F.log10("w")) - 2, F.lit(0)))
+    size = F.when(F.col("w") * SINGLE >= total, F.col("w").cast("double")).otherwise(F.floor(F.col("w") / step) * step)
+    sums = sums.withColumn("size", F.when(F.col("w") > 0, size).otherwise(0.0))
+    classes = sums.groupBy("size").agg(F.sum("w").alias("w"), F.count("*").alias("n")).collect()  # see above: few
+    found = deal([((r.w or 0) / r.n, r.n) for r in classes], shares)
+    rows = []
+    for r, given in zip(classes, found):
+        upto = 0
+        for k, n in given.items():
+            if n:
+                rows.append((r.size, upto, upto + n, k))
+                upto += n
+    table = F.broadcast(spark.createDataFrame(rows or [(0.0, 0, 0, "")], "size double, above long, upto long, split string"))
+    order = ranked(sums, ["size"], [F.asc("group_id")], "nth").alias("g")
+    splits = order.join(table.alias("t"), F.expr("g.size = t.size AND g.nth > t.above AND g.nth <= t.upto")).select("group_id", "split", "_n")
     return hot_split_join(grouped, materialize(splits, "dealt"), ["group_id"], "_n")

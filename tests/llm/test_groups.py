@@ -63,6 +63,15 @@ def test_apportion(sizes, c):
     assert sum(got) == min(c, sum(sizes)) and all(0 <= g <= s for g, s in zip(got, sizes))
 
 
+def test_spare_slots_go_to_the_others(spark):
+    """Weights of the whole collection: a stratum that the contributor hardly has is filled, and what it leaves goes to the others by their weights."""
+    assert cap.apportion([2, 50, 40], 30, [60, 30, 10]) == [2, 21, 7] and cap.apportion([5, 5], 20, [1, 9]) == [5, 5] and cap.apportion([9, 9, 9], 10) == [4, 3, 3]
+    data = [(f"a{i:03d}", "x", "big" if i < 2 else "small", float(i)) for i in range(60)] + [(f"b{k}{i}", f"y{k}", "big", 1.0) for k in range(40) for i in range(9)]
+    df = spark.createDataFrame(data, "id string, owner string, topic string, q double")
+    left = df.join(cap.over_cap(df, "owner", [F.desc("q"), F.asc("id")], cap=20, stratum="topic", balanced=True), "id", "left_anti")
+    assert Counter(r.topic for r in left.filter("owner = 'x'").collect()) == {"big": 2, "small": 18}
+
+
 def test_cap_empty(spark):
     assert rows(cap.over_cap(cap.scored_clips(clips(spark, [])), "channel", cap.quality(), share=0.05)) == []
 
@@ -180,15 +189,40 @@ def test_groups_stay_together(spark):
     assert group_split.assign(group_split.named(clips(spark, [])), "source", "channel", "ms", {"train": 1.0}).count() == 0
 
 
-def test_weightless_groups_travel_in_bundles(spark, monkeypatch):
-    seen = []
-    deal = group_split.deal
-    monkeypatch.setattr(group_split, "BUNDLES", 4)
-    monkeypatch.setattr(group_split, "deal", lambda sizes, shares: seen.extend(sizes) or deal(sizes, shares))
+def test_weightless_groups_follow_the_shares(spark):
     data = spark.createDataFrame([(f"i{k}", f"s{k}", f"c{k}", 0) for k in range(60)], "id string, source string, channel string, ms long")
-    got = group_split.assign(data, "source", "channel", "ms", {"train": 0.9, "test": 0.1}).collect()
-    assert len(got) == 60 and all(r.split in ("train", "test") for r in got)
-    assert 0 < len(seen) <= 4
+    got = Counter(r.split for r in group_split.assign(data, "source", "channel", "ms", {"train": 0.9, "test": 0.1}).collect())
+    assert got == {"train": 54, "test": 6}
+
+
+def test_small_groups_are_dealt_to_the_targets(spark):
+    """Thousands of groups below 1/10,000 of the total, of many sizes: every split ends within the smallest of them of its target."""
+    r = random.Random(3)
+    sizes = [r.randint(1, 4000) for _ in range(30_000)] + [3_000_000, 9_000_000]
+    data = spark.createDataFrame([(f"i{k}", f"s{k}", None, w) for k, w in enumerate(sizes)], "id string, source string, channel string, ms long")
+    got = Counter()
+    for x in group_split.assign(data, "source", "channel", "ms", {"train": 0.9, "dev": 0.05, "test": 0.05}).groupBy("split").agg(F.sum("ms").alias("w")).collect():
+        got[x.split] = x.w
+    assert all(abs(got[k] / sum(sizes) - v) < 1e-4 for k, v in {"train": 0.9, "dev": 0.05, "test": 0.05}.items())
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(1, 300), st.integers(1, 120), min_size=1, max_size=12))
+def test_pouring_is_dealing_singly(classes):
+    """Many equal groups at once end where dealing them one by one does."""
+    shares = {"a": 0.7, "b": 0.2, "c": 0.1}
+    want = dict.fromkeys(shares, 0)
+    total = sum(k * n for k, n in classes.items())
+    for size, n in sorted(classes.items(), reverse=True):
+        for _ in range(n):
+            best = max(shares, key=lambda k: shares[k] * total - want[k])
+            want[best] += size
+    got = dict.fromkeys(shares, 0)
+    for (size, n), given in zip(classes.items(), group_split.deal(list(classes.items()), shares)):
+        assert sum(given.values()) == n and min(given.values()) >= 0
+        for k, c in given.items():
+            got[k] += c * size
+    assert all(abs(got[k] - want[k]) <= 2 * max(classes) for k in shares)
 
 
 def test_linked_channels(spark):
@@ -198,11 +232,9 @@ def test_linked_channels(spark):
 
 
 def test_deal_is_close_to_the_shares():
-    sizes = [(f"g{i}", s) for i, s in enumerate([50, 30, 20, 10, 5, 5, 4, 3, 2, 1] * 5)]
-    have = Counter()
-    for g, s in group_split.deal(sizes, {"train": 0.8, "dev": 0.1, "test": 0.1}).items():
-        have[s] += dict(sizes)[g]
-    assert abs(have["train"] / 650 - 0.8) < 0.05
+    classes = [(s, 5) for s in (50, 30, 20, 10, 5, 5, 4, 3, 2, 1)]
+    train = sum(s * g.get("train", 0) for (s, _), g in zip(classes, group_split.deal(classes, {"train": 0.8, "dev": 0.1, "test": 0.1})))
+    assert abs(train / 650 - 0.8) < 0.05
 
 
 @settings(max_examples=100, deadline=None)

@@ -54,9 +54,10 @@ def test_all_pairs_found(spark):
     assert got == want and len(want) > 30
 
 
-@pytest.mark.parametrize("hot", [20, 2000])
-def test_template_that_fills_bands(spark, hot):
-    """Many texts share most of their words, yet few pairs reach the threshold."""
+@pytest.mark.parametrize(("hot", "crowd"), [(20, 5_000), (20, 7), (2000, 5_000)])
+def test_template_that_fills_bands(spark, monkeypatch, hot, crowd):
+    """Many texts share most of their words, yet few pairs reach the threshold; also where crowded words are dealt out."""
+    monkeypatch.setattr(bags, "CROWD", crowd)
     r = random.Random(11)
     template = [f"kalıp{i}" for i in range(12)]
     texts = [" ".join(template + [f"özel{r.randrange(300)}" for _ in range(4)]) for _ in range(250)] + planted(10)
@@ -99,6 +100,26 @@ def test_estimate_is_close():
     assert near_dup.estimates(ra, other, np.array([85]), np.array([85]))[0] < 0.03
 
 
+def test_estimate_drops_no_pair():
+    """Of 4,000 pairs at the threshold the estimate lets all pass: it rejects only what is six deviations below."""
+    r = np.random.default_rng(2)
+    n, low = 20, []
+    for _ in range(40):
+        f = r.integers(0, 2**63, (100, 23)).astype(np.uint64)  # 17 shared and 3 own features each: 17/23
+        a, b = np.sort(f[:, :20], 1), np.sort(np.concatenate([f[:, :17], f[:, 20:]], 1), 1)
+        at, size = np.arange(100) * n, np.full(100, n)
+        low.append(near_dup.estimates(near_dup.registers(a.reshape(-1), at, 220), near_dup.registers(b.reshape(-1), at, 220), size, size).min())
+    assert min(low) > 0.7 - near_dup.MARGIN + 0.05
+
+
+def test_sketch_of_frequencies(spark):
+    b = materialize(bags.bags(table(spark, planted(40, 2)), "id", F.col("text"), 12))
+    count, n = bags.frequencies(b)
+    own = Counter(f for r in b.select("feats").collect() for f in np.frombuffer(bytes(r.feats), np.uint64).tolist())
+    f = np.array(list(own), np.uint64)
+    assert n == b.count() and bags.look_up(count, f).tolist() == list(own.values())
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.sampled_from("abcdefgh"), min_size=1, max_size=20), st.lists(st.sampled_from("abcdefgh"), min_size=1, max_size=20))
 def test_features_are_multisets(a, b):
@@ -112,8 +133,9 @@ def split_table(spark, pairs):
     return spark.createDataFrame(pairs, "id string, split string")
 
 
-@pytest.mark.parametrize("weighting", ["unit", "idf"])
-def test_cross_split(spark, weighting):
+@pytest.mark.parametrize(("weighting", "crowd"), [("unit", 5_000), ("idf", 5_000), ("idf", 2)])
+def test_cross_split(spark, monkeypatch, weighting, crowd):
+    monkeypatch.setattr(bags, "CROWD", crowd)
     texts = planted(50, 7)
     r = random.Random(3)
     of = {f"c{i:04d}": r.choice([" Train", "train", "dev", "TEST ", "rest", None]) for i in range(len(texts))}
