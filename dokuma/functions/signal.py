@@ -77,9 +77,10 @@ def quality_windows(seconds: Column) -> Column:
 
 
 def envelope(x: Column, frame: int, hop: int) -> Column:
-    """RMS envelope in dB: frames of ``frame`` samples every ``hop``."""
+    """RMS envelope in dB: frames of ``frame`` samples every ``hop``, at least one; a signal shorter than a frame is filled up with silence."""
     starts = F.sequence(F.lit(1), F.greatest(F.size(x) - frame + 1, F.lit(1)), F.lit(hop))
-    return F.transform(starts, lambda i: decibel(rms(F.slice(x, i, frame))))
+    mean = lambda y: F.aggregate(y, F.lit(0.0), lambda s, v: s + v.cast("double") * v) / frame
+    return F.transform(starts, lambda i: decibel(F.sqrt(mean(F.slice(x, i, frame)))))
 
 
 def runs_below(x: Column, level: Column) -> Column:
@@ -98,6 +99,19 @@ def runs_below(x: Column, level: Column) -> Column:
     return F.aggregate(marked, zero, step, lambda s: s["runs"])
 
 
+def music_cascade(score: Column, separated_db: Column, threshold: float = 0.05) -> Column:
+    """struct<music_score, music_db_separated, music_to_speech_db>: the cheap score decides whether the dear separation counts. Below the threshold a clip has no music, -80 dB; without
+    a score (unreadable audio) nothing is known; with one, the ratio is that of the separation."""
+    apart = score >= threshold
+    db = F.when(~apart, F.lit(-80.0)).when(apart, F.greatest(separated_db, F.lit(-80.0)))
+    return F.struct(F.round(score, 4).alias("music_score"), apart.alias("music_db_separated"), F.round(db, 2).alias("music_to_speech_db"))
+
+
+def decode_filters(highpass_hz: float = 40.0, ceiling_db: float | None = None) -> str:
+    """Filter chain for decoding a recording: a high pass, and a limiter (without automatic gain) only where a ceiling is asked for."""
+    return ",".join([f"highpass=f={float(highpass_hz)}"] + ([] if ceiling_db is None else [f"alimiter=limit={10 ** (ceiling_db / 20):.4f}:level=false"]))
+
+
 def background_music(db: Column, threshold: float, tagger: Column | None = None, tagger_min: float | None = None) -> Column:
     """Music above the threshold and, where a second opinion is asked for, that at its minimum too; null is false."""
     ok = db > threshold

@@ -73,6 +73,18 @@ def let(value: Column, use) -> Column:  # noqa: ANN001
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def romanised(c: Column) -> Column:
+    """Letters of a token as an aligner's vocabulary has them: Turkish lower case, plain letters, one blank between; null where nothing is left (figures, marks)."""
+    plain = F.regexp_replace(F.translate(lower_tr(c), "çğıöşüâîû", "cgiosuaiu"), r"[^a-z']", "")
+    spaced = F.trim(F.regexp_replace(plain, "(.)", "$1 "))
+    return F.when(spaced != "", spaced)
+
+
+def model_name(c: Column) -> Column:
+    """Last part of a model's path, without the prefixes of converted weights."""
+    return F.regexp_replace(F.element_at(F.split(c, "/"), -1), r"^faster-|^whisper-", "")
+
+
 # Closing marks that may follow a sentence's end, and the marks that end one.
 CLOSERS = "\"'»”’)]}"
 SENTENCE_END = ".!?…"
@@ -80,17 +92,32 @@ _CLOSERS_RE = r"""["'»”’)\]}\s]"""
 
 
 @F.pandas_udf(T.StringType())
-def nfc_text(s):  # noqa: ANN001, ANN201
-    """NFC of a column (Arrow batches); null stays null."""
+def _nfc_udf(s):  # noqa: ANN001, ANN202
     return s.map(nfc, na_action="ignore")
 
 
+# A text of these characters alone is in NFC: none of them composes or decomposes, and combining marks are not among them.
+PLAIN = r"^[\x00-\u02ff\u2002-\u206f\u20a0-\u20bf]*$"
+
+
+def nfc_text(c: Column | str) -> Column:
+    """NFC of a column; null stays null. Only texts with other than plain characters go to Python."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.coalesce(_nfc_udf(F.when(~c.rlike(PLAIN), c)), c)
+
+
 def dedupe_key(c: Column, normalise: bool = True) -> Column:
     """Comparison key: NFC, Turkish lower case, all but word characters to blanks, white space collapsed and trimmed."""
     c = lower_tr(nfc_text(c) if normalise else c)
     return F.trim(F.regexp_replace(F.regexp_replace(c, r"[^\p{L}\p{N}_\s]", " "), r"(?U)\s+", " "))
 
 
+def holds_phrase(c: Column, phrase: Column) -> Column:
+    """Whether the words of ``phrase`` stand in a row in ``c``, by comparison keys; an empty phrase stands nowhere."""
+    whole = lambda x: F.concat(F.lit(" "), dedupe_key(x), F.lit(" "))
+    return F.contains(whole(c), whole(phrase)) & (dedupe_key(phrase) != "")
+
+
 def collapse(c: Column) -> Column:
     """White space (no-break included) to single blanks, runs of one of . , ! ? ; : to one, trimmed."""
     return F.trim(F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", " "), r"([.,!?;:])\1+", "$1"))

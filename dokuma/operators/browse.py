@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from ..functions.text import lower_tr, tr_lower
 from .split import hash_order
+from .stats import linear_percentiles
 
 COMPARE = {"gt": "__gt__", "ge": "__ge__", "lt": "__lt__", "le": "__le__", ">": "__gt__", ">=": "__ge__", "<": "__lt__", "<=": "__le__", "=": "__eq__"}
 CONDITION = re.compile(r"^\s*([\w.]+)\s*(>=|<=|>|<|=)\s*(-?\d+(?:\.\d+)?)\s*$")
@@ -183,10 +184,11 @@ def distribution(df: DataFrame, name: str, bins: int = 24) -> DataFrame:
 def describe(df: DataFrame, name: str, ps: tuple[float, ...] = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)) -> DataFrame:
     """n, least, greatest, mean and interpolated percentiles of a numeric column, as one row."""
     v = number(field(df, name))
-    v = F.when(~F.isnan(v), v)
-    qs = F.percentile(v, F.array(*[F.lit(p) for p in ps]))
-    one = df.agg(F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), qs.alias("q"))
-    return one.select("n", "min", "max", F.round("mean", 6).alias("mean"), *[F.round(F.get("q", F.lit(i)), 6).alias(f"p{round(100 * p):02d}") for i, p in enumerate(ps)])
+    d = df.select(F.when(~F.isnan(v), v).alias("v"))
+    names = {f"p{round(100 * p):02d}": p for p in ps}
+    one = d.agg(F.count("v").alias("n"), F.min("v").alias("min"), F.max("v").alias("max"), F.avg("v").alias("mean"))
+    qs = linear_percentiles(d, [], "v", names).drop("n")
+    return one.crossJoin(F.broadcast(qs)).select("n", "min", "max", F.round("mean", 6).alias("mean"), *[F.round(q, 6).alias(q) for q in names])  # one row each
 
 
 def profile(df: DataFrame, names: list[str], top: int = 60) -> DataFrame:

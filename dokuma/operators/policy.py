@@ -60,6 +60,12 @@ class Policy:
         return df.withColumn("exclusion_reasons", self.reasons(F.col(metrics), marks)).withColumn("recommended", F.size("exclusion_reasons") == 0).withColumn("policy_version", F.lit(self.version))
 
 
+def only_reasons(annotated: DataFrame, names: list[str]) -> DataFrame:
+    """Rows that are excluded by nothing but the named rules: all their reasons, without what follows the name, are among ``names``."""
+    rules = F.transform("exclusion_reasons", lambda r: F.regexp_extract(r, r"^(?:eksik_olcum:)?([^<>:]+)", 1))
+    return annotated.filter((F.size("exclusion_reasons") > 0) & (F.size(F.array_except(rules, F.array(*[F.lit(n) for n in names]).cast("array<string>"))) == 0))
+
+
 def reason_counts(annotated: DataFrame, what: str = "exclusion_reasons", name: str = "reason") -> DataFrame:
     """How often each reason (or flag) occurs."""
     return annotated.select(F.explode(what).alias(name)).groupBy(name).agg(F.count("*").alias("n"))

@@ -40,6 +40,79 @@ def clip_assertions(metrics: str = "metrics", tolerance: float = 0.002) -> dict[
     }
 
 
+FLAGS = ("forced_split", "gap_split", "short", "oversize", "background_music", "duplicate", "boilerplate", "unreadable_audio")
+
+
+def manifest_assertions(least_sec: float = 1.5, most_sec: float = 15.0, pads_sec: float = 1.0, music_db: float = -6.0, metrics: str = "metrics") -> dict[str, Column]:
+    """Invariants between the columns of a manifest row: text, texts as read, flags, measurements and decision. Columns: those of ``schema.MANIFEST`` and n_words, keeper_key, own_key
+    (comparison keys of the kept and the own text), source_duration, source_rate, sample_rate, source_channel."""
+    from ..functions.text import is_lower_start
+
+    m = lambda k: F.try_element_at(F.col(metrics), F.lit(k))
+    has = lambda f: F.array_contains(F.coalesce("flags", F.array().cast("array<string>")), F.lit(f))
+    words = F.size(F.filter(F.split("text", r"(?U)\s+"), lambda w: w != ""))
+    cut = has("forced_split") | has("gap_split")
+    lead, trail, ratio = m("leading_silence_sec"), m("trailing_silence_sec"), m("speech_ratio")
+    talk = ratio > 0
+    apart = F.coalesce(m("music_db_separated") > 0, F.lit(False))
+    return {
+        "within_recording": F.col("end_sec") > F.col("source_duration") + 0.01,
+        "cut_parts_not_recommended": cut & is_lower_start(F.col("text")) & F.col("recommended"),
+        "n_words": F.col("n_words") != words,
+        "spoken_is_text_without_figures": ~F.col("text").rlike(r"\p{Nd}|[%₺$€£.]|(?iu)\btl\b") & (F.col("text_spoken") != F.col("text")),
+        "spoken_has_no_figures": F.col("text").rlike(r"\p{Nd}") & ~F.col("text").rlike(r"\p{L}\p{Nd}|\p{Nd}\p{L}") & F.col("text_spoken").rlike(r"\p{Nd}"),
+        "confidence_least_not_above_mean": m("word_confidence") > m("word_confidence_mean") + 1e-3 + 1e-6,
+        "align_score_range": outside(m("align_score_min"), 0.0, 1.0) | (m("align_score_min") > m("align_score_mean") + 1e-3 + 1e-6),
+        "edge_silences_within_duration": talk & ((F.greatest(lead, trail) > F.col("duration") + 1e-3) | (lead + trail > F.col("duration") + 1e-3)),
+        "speech_within_edges": talk & (F.col("duration") > 0) & (ratio > 1 - (lead + trail) / F.col("duration") + 0.02),
+        "music_separated_or_none": m("music_score_audioset").isNotNull() & F.when(apart, m("music_score_audioset") < 0.05 - 5e-5).otherwise((m("music_to_speech_db") != -80) | (m("music_score_audioset") > 0.05 + 5e-5)),
+        "background_music_flag": m("music_to_speech_db").isNotNull() & (has("background_music") != (m("music_to_speech_db") > music_db)),
+        "duplicate_flag": has("duplicate") != F.col("duplicate_of").isNotNull(),
+        "duplicate_of_same_text": F.col("duplicate_of").isNotNull() & ~F.col("keeper_key").eqNullSafe(F.col("own_key")),
+        "oversize_is_long": has("oversize") & (F.col("duration") <= most_sec),
+        "long_is_oversize": ~has("oversize") & (F.col("duration") > most_sec + pads_sec + 1e-6),
+        "short_is_short": has("short") & (F.col("duration") - 0.4 >= least_sec),
+        "flags_known": F.size(F.array_except(F.coalesce("flags", F.array().cast("array<string>")), F.array(*[F.lit(f) for f in FLAGS]))) > 0,
+        "recommended_without_reasons": F.col("recommended") & (F.size("exclusion_reasons") > 0),
+        "excluded_with_reasons": ~F.col("recommended") & (F.size("exclusion_reasons") == 0),
+        "channel_of_recording": F.col("source_channel").isNotNull() & (F.col("source_channel") != F.col("channel")),
+        "rate_of_recording": F.col("sample_rate") != F.col("source_rate"),
+    }
+
+
+def decision_assertion(manifest: DataFrame, policy) -> DataFrame:  # noqa: ANN001
+    """(check, bad, total, ok, example): rows whose decision differs from the policy's, worked out again."""
+    again = policy.annotate(manifest.withColumnsRenamed({"exclusion_reasons": "_r", "recommended": "_ok", "policy_version": "_v"}))
+    differs = ~(F.array_sort("exclusion_reasons").eqNullSafe(F.array_sort("_r")) & F.col("recommended").eqNullSafe(F.col("_ok")) & F.col("policy_version").eqNullSafe(F.col("_v")))
+    return check(again, {"decision_is_the_policys": differs})
+
+
+def store_assertions(store: DataFrame, manifest: DataFrame, columns: list[str], key: str = "id") -> DataFrame:
+    """(check, bad, total, ok, example): ids in one of the tables only, and rows with another value in any of the columns."""
+    one = manifest.select(key, F.struct(*columns).alias("_m")).join(store.select(key, F.struct(*columns).alias("_s")), key, "full")
+    return check(one, {"same_ids": F.col("_m").isNull() | F.col("_s").isNull(), "same_values": F.col("_m").isNotNull() & F.col("_s").isNotNull() & ~F.col("_m").eqNullSafe(F.col("_s"))}, key)
+
+
+def ceiling_assertion(df: DataFrame, value: Column, least: float, name: str, least_rows: int = 1) -> DataFrame:
+    """(check, bad, total, ok, example): whether a measurement reaches ``least`` anywhere; a scale that is off does not. No values at all are bad, unless there are fewer than ``least_rows`` rows."""
+    one = df.agg(F.max(value).alias("m"), F.count(value).alias("n"), F.count("*").alias("all"))
+    bad = (F.col("all") >= least_rows) & ~F.coalesce(F.col("m") > least, F.lit(False))
+    return one.select(F.lit(name).alias("check"), bad.cast("long").alias("bad"), F.col("n").alias("total"), (~bad).alias("ok"), F.lit(None).cast("string").alias("example"))
+
+
+def run_assertions(record: dict, done: DataFrame, rows: int) -> DataFrame:
+    """(check, bad, total, ok, example): a run record against the ledger and the manifest: number of clips, versions of the stages that have marks, resolved packages, pinned models."""
+    spark = done.sparkSession
+    found = {r.stage: r.versions for r in done.groupBy("stage").agg(F.collect_set("version").alias("versions")).collect()}  # a row a stage
+    stages = record.get("stage_versions", {})
+    versions = sorted(s for s, v in stages.items() if s in found and found[s] != [v])
+    packages = sorted(k for k, v in record.get("packages", {}).items() if v is None)
+    models = sorted(k for k, v in record.get("models", {}).items() if not v.get("revision") and not v.get("pinned_by"))
+    counts = [] if record.get("counts", {}).get("clips") == rows else ["clips"]
+    out = [("record_counts", counts, 1), ("record_versions", versions, len(stages)), ("record_packages", packages, len(record.get("packages", {}))), ("record_models", models, len(record.get("models", {})))]
+    return spark.createDataFrame([(n, len(b), t, not b, b[0] if b else None) for n, b, t in out], "check string, bad long, total long, ok boolean, example string")
+
+
 def order_assertions(df: DataFrame, group: str = "source_id", tolerance: float = 0.001) -> DataFrame:
     """(check, bad): clips out of sequence and clips that overlap the next one of their recording."""
     w = Window.partitionBy(group).orderBy("idx")

@@ -40,13 +40,56 @@ def by_channel(clips: DataFrame) -> DataFrame:
 
 
 def source_ledger(sources: DataFrame, clips: DataFrame) -> DataFrame:
-    """Each recording with its clip count and status."""
+    """Each recording with its clip count and status; one whose ``meta_json`` says that no words were recognised is told from others without clips."""
     n = clips.groupBy("source_id").agg(F.count("*").alias("n_clips"), F.sum("duration").alias("clip_sec"))
     j = sources.join(n, sources["id"] == n["source_id"], "left").withColumn("n_clips", F.coalesce("n_clips", F.lit(0)))
-    status = F.when(F.col("error").isNotNull(), "decode_failure").when(F.col("n_clips") > 0, "clips").otherwise("no_clips")
+    status = F.when(F.col("error").isNotNull(), "decode_failure").when(F.col("n_clips") > 0, "clips").when(F.get_json_object("meta_json", "$.n_words").try_cast("double") == 0, "no_asr_words").otherwise("no_clips")
     return j.select("id", "path", "channel", "n_clips", F.round(F.coalesce("clip_sec", F.lit(0.0)), 3).alias("clip_sec"), status.alias("status"))
 
 
+def with_speakers(clips: DataFrame, clusters: DataFrame, sources: DataFrame) -> DataFrame:
+    """Clips with the speaker cluster of their recording (source_id, cluster) and its consistency out of the recording's meta; null where either is unknown."""
+    meta = sources.select(F.col("id").alias("source_id"), F.get_json_object("meta_json", "$.speaker_consistency").try_cast("double").alias("speaker_consistency"))
+    return clips.join(clusters.select("source_id", F.col("cluster").alias("speaker_cluster")), "source_id", "left").join(meta, "source_id", "left")
+
+
+def broken_by_flag(clips: DataFrame) -> DataFrame:
+    """(flag, n, lower_start, no_end, both): broken ends of the clips with each flag; those without any under ''."""
+    from ..functions.text import has_sentence_end, is_lower_start
+
+    low, end = is_lower_start(F.col("text")), has_sentence_end(F.col("text"))
+    f = F.explode(F.when(F.size("flags") > 0, F.array_distinct("flags")).otherwise(F.array(F.lit(""))))
+    marked = clips.select(low.alias("low"), (~end).alias("open"), "flags").select("low", "open", f.alias("flag"))
+    return marked.groupBy("flag").agg(F.count("*").alias("n"), F.count_if("low").alias("lower_start"), F.count_if("open").alias("no_end"), F.count_if(F.col("low") & F.col("open")).alias("both"))
+
+
+def broken_clips(clips: DataFrame) -> DataFrame:
+    """(id, cut, text) of clips that begin ("bas") or end ("son") within a sentence, or both ("iki")."""
+    from ..functions.text import has_sentence_end, is_lower_start
+
+    c = clips.select("id", "text", is_lower_start(F.col("text")).alias("low"), (~has_sentence_end(F.col("text"))).alias("open")).filter("low OR open")
+    return c.select("id", F.when(F.col("low") & F.col("open"), "iki").when(F.col("low"), "bas").otherwise("son").alias("cut"), "text")
+
+
+def odd_values(rows: DataFrame, group: str, value: str, factor: float) -> DataFrame:
+    """Rows whose value is more than ``factor`` times their group's median, or less than its ``factor``-th part."""
+    from .stats import linear_percentiles
+
+    m = linear_percentiles(rows, [group], value, {"_median": 0.5}).select(F.col(group).alias("_g"), "_median")
+    j = rows.join(m, F.col(group).eqNullSafe(F.col("_g")))
+    return j.filter((F.col(value) > factor * F.col("_median")) | (F.col(value) < F.col("_median") / factor)).select(*rows.columns)
+
+
+def error_rates(rows: DataFrame, group: str, rate: str, above: float = 0.1) -> DataFrame:
+    """(group, n, mean, median, p90, above_pct) of an error rate by group; rows without a rate are left out."""
+    from .stats import linear_percentiles
+
+    d = rows.filter(F.col(rate).isNotNull())
+    m = d.groupBy(group).agg(F.round(F.avg(rate), 6).alias("mean"), F.round(100 * F.avg((F.col(rate) > above).cast("int")), 3).alias("above_pct"))
+    q = linear_percentiles(d, [group], rate, {"median": 0.5, "p90": 0.9})
+    return q.alias("q").join(m.alias("m"), F.col(f"q.{group}").eqNullSafe(F.col(f"m.{group}"))).select(F.col(f"q.{group}").alias(group), "n", "mean", F.round("median", 6).alias("median"), F.round("p90", 6).alias("p90"), "above_pct")
+
+
 def source_yield(sources: DataFrame, clips: DataFrame, words: Column) -> DataFrame:
     """Per recording: clips, words per minute and the share of its time in clips."""
     c = clips.withColumn("_w", words).groupBy("source_id").agg(F.count("*").alias("n_clips"), F.sum("duration").alias("s"), F.sum("_w").alias("w"))

@@ -23,11 +23,12 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 def hot_split_join(left: DataFrame, right: DataFrame, on: list[str], weight: str, max_hot: int = 512) -> DataFrame:
     """Inner equi-join of many rows with a table of unique keys. ``weight``: column of ``right``, the number of left
-    rows of its key. Keys holding at least 1/``max_hot`` of the weight - so at most ``max_hot`` of them - are
+    rows of its key (null: none known). Keys holding at least 1/``max_hot`` of the weight - so at most ``max_hot`` of them - are
     broadcast; all others are joined by shuffle, where no key is large any more. ``weight`` is dropped. Null keys
     match nothing. Keys of ``right`` must be unique."""
     (hot,) = fresh(left, "_hot")
     extra = [c for c in right.columns if c not in {*on, weight}]
+    right = right.withColumn(weight, F.coalesce(weight, F.lit(0)))
     total = right.agg(F.sum(weight)).first()[0] or 0
     limit = max(total / max_hot, 1000)
     few = right.filter(F.col(weight) >= limit).limit(max_hot).select(*on, F.lit(True).alias(hot), *extra)

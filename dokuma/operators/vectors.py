@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vector import cosine, dot, unit
+from ..functions.vector import dot, unit
 
 
 def dimension_sums(df: DataFrame, group: str, vector: str) -> DataFrame:
@@ -29,15 +31,40 @@ def centroids(df: DataFrame, group: str, vector: str) -> DataFrame:
 
 
 def margins(df: DataFrame, centers: DataFrame, group: str, vector: str, key: str, most_centers: int = 10_000) -> DataFrame:
-    """(key, own, other, margin): cosine to the own centre, the best other one, and their difference. Centres are broadcast while at most
-    ``most_centers``; more are taken in blocks of rows by shuffle."""
-    c = centers.select(F.col(group).alias("_c"), "center")
-    few = c.count() <= most_centers
-    j = df.select(key, group, vector).crossJoin(F.broadcast(c) if few else c)  # every row against the stated set of centres
-    sims = j.withColumn("s", cosine(F.col(vector), F.col("center")))
-    own = F.max(F.when(F.col(group).eqNullSafe(F.col("_c")), F.col("s")))
-    other = F.max(F.when(~F.col(group).eqNullSafe(F.col("_c")), F.col("s")))
-    return sims.groupBy(key).agg(own.alias("own"), other.alias("other")).withColumn("margin", F.col("own") - F.col("other"))
+    """(key, own, other, margin): cosine to the own centre, the best other one, and their difference. The centres are dealt into blocks of at most ``most_centers``, each block
+    is held as one matrix, and rows meet all blocks: products of matrices over whole Arrow batches, no pair of rows is ever formed. Only the best of each block leaves a task."""
+    c = centers.select(F.col(group).cast("string").alias("name"), "center").filter("center is not null")
+    blocks = max(1, -(-c.count() // most_centers))
+    kind = dict(df.dtypes)[key]
+    out = None
+    for block in range(blocks):
+        own = c if blocks == 1 else c.filter(F.pmod(F.xxhash64("name"), F.lit(blocks)) == block)
+        rows = own.collect()  # a block: about ``most_centers`` rows
+        held = df.sparkSession.sparkContext.broadcast(({r["name"]: i for i, r in enumerate(rows)}, np.array([r["center"] for r in rows], float)))
+
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            where, m = held.value
+            norm = np.linalg.norm(m, axis=1) if len(m) else np.zeros(0)
+            for b in batches:
+                vs, mine = b.column(2).to_pylist(), np.array([where.get(g, -1) for g in b.column(1).to_pylist()], int)
+                ok = np.array([v is not None and len(v) == m.shape[-1] for v in vs]) if len(m) else np.zeros(len(vs), bool)
+                own, other = np.full(len(vs), np.nan), np.full(len(vs), np.nan)
+                if ok.any():
+                    x = np.array([v for v, k in zip(vs, ok) if k], float)
+                    s = x @ m.T / np.maximum(np.linalg.norm(x, axis=1)[:, None] * norm[None, :], 1e-300)
+                    at, has = mine[ok], mine[ok] >= 0
+                    r = np.arange(len(x))
+                    own[ok] = np.where(has, s[r, np.maximum(at, 0)], np.nan)
+                    s[r[has], at[has]] = -np.inf
+                    best = s.max(1)
+                    other[ok] = np.where(np.isfinite(best), best, np.nan)
+                yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(y, pa.float64(), from_pandas=True) for y in (own, other)]], [key, "own", "other"])
+
+        part = df.select(key, F.col(group).cast("string").alias("g"), vector).mapInArrow(run, f"{key} {kind}, own double, other double")
+        out = part if out is None else out.unionByName(part)
+    if blocks > 1:
+        out = out.groupBy(key).agg(F.max("own").alias("own"), F.max("other").alias("other"))
+    return out.withColumn("margin", F.col("own") - F.col("other"))
 
 
 def center_pairs(centers: DataFrame, group: str) -> DataFrame:
@@ -46,6 +73,16 @@ def center_pairs(centers: DataFrame, group: str) -> DataFrame:
     return a.join(b, F.col(f"a.{group}") < F.col(f"b.{group}")).select(F.col(f"a.{group}").alias("a"), F.col(f"b.{group}").alias("b"), dot(F.col("a.center"), F.col("b.center")).alias("cosine"))
 
 
+def similarity_groups(pairs: DataFrame, channels: DataFrame, ps: dict[str, float]) -> DataFrame:
+    """(kind, n, mean and percentiles) of the similarities of ``center_pairs``: of recordings of the same channel and of different ones. ``channels``: (group, channel)."""
+    from .stats import linear_percentiles
+
+    c = lambda s: channels.select(F.col("group").alias(s), F.col("channel").alias(f"c{s}"))
+    kind = F.when(F.col("ca") == F.col("cb"), "same_channel").otherwise("cross_channel")
+    d = pairs.join(c("a"), "a").join(c("b"), "b").select(kind.alias("kind"), "cosine")
+    return linear_percentiles(d, ["kind"], "cosine", ps).join(d.groupBy("kind").agg(F.avg("cosine").alias("mean")), "kind")
+
+
 def average_linkage(x: np.ndarray, threshold: float) -> np.ndarray:
     """Labels of agglomerative clustering of unit vectors: clusters of least mean cosine distance merge while it is below 1 - threshold. Labels by first member."""
     n = len(x)

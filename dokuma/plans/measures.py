@@ -132,4 +132,6 @@ def outlier_rates(spark: SparkSession, sf: str) -> DataFrame:
     """Seconds per word by channel."""
     c = table(spark, sf, "clips").filter("id is not null").dropDuplicates(["id"]).filter("duration > 0 AND trim(text) <> '' AND channel is not null")
     r = F.col("duration") / F.size(F.split(F.trim("text"), r"\s+"))
-    return c.groupBy("channel").agg(F.count("*").alias("n"), F.round(F.percentile(r, F.lit(0.5)), 6).alias("median"), F.round(F.min(r), 6).alias("least"), F.round(F.max(r), 6).alias("most"))
+    c = c.select("channel", r.alias("rate"))
+    ends = c.groupBy("channel").agg(F.round(F.min("rate"), 6).alias("least"), F.round(F.max("rate"), 6).alias("most"))
+    return stats.linear_percentiles(c, ["channel"], "rate", {"median": 0.5}).join(ends, "channel").select("channel", "n", F.round("median", 6).alias("median"), "least", "most")

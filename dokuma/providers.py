@@ -34,6 +34,22 @@ class Provider:
             raise ValueError(f"{self.name}: decisions are no measurements: {', '.join(sorted(bad))}")
 
 
+def verified(path: str, sha256: str | None) -> str:
+    """``path`` if it is there and has the digest; weights without one, or others, are an error before anything is measured."""
+    import hashlib
+    import os
+
+    if not path or not os.path.exists(path):
+        raise FileNotFoundError(f"no weights at {path!r}")
+    if not sha256:
+        raise ValueError(f"no digest is configured for {path}")
+    with open(path, "rb") as f:
+        found = hashlib.file_digest(f, "sha256").hexdigest()
+    if found != sha256.lower():
+        raise ValueError(f"{path} has digest {found}, not {sha256}")
+    return path
+
+
 _known: dict[str, Provider] = {}
 
 

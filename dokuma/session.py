@@ -30,9 +30,13 @@ def get_session(app: str = "dokuma", master: str | None = None, **conf: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a folder of our own only where it is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where it is unset, a local session gets a folder of its own; on several machines that is an error, since
+    each would write to its own disk and reads would be incomplete."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder for master {master}")
         found = "file://" + os.path.join(tempfile.gettempdir(), "dokuma-shared")
     return found.rstrip("/")
 
@@ -40,12 +44,16 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, what: str = "t") -> DataFrame:
     """Write ``df`` once as Parquet into the shared folder and read it back: lineage is cut, lost executors only
     repeat reads, and later readers prune columns. The files go when the application ends."""
-    spark = df.sparkSession
-    base = f"{shared_dir(spark)}/dokuma-{spark.sparkContext.applicationId}"
-    path = f"{base}/{what}-{uuid.uuid4().hex}"
+    path = folder(df.sparkSession, what)
     df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def folder(spark: SparkSession, what: str = "t") -> str:
+    """A new folder of this application within the shared one."""
+    base = f"{shared_dir(spark)}/dokuma-{spark.sparkContext.applicationId}"
     _forget_at_exit(spark, base)
-    return spark.read.schema(df.schema).parquet(path)
+    return f"{base}/{what}-{uuid.uuid4().hex}"
 
 
 def release(spark: SparkSession) -> None:

@@ -79,15 +79,18 @@ def truncated(sources: DataFrame, decoded: str, container: str, cap_sec: float,
 
 
 def cut(files: DataFrame, clips: DataFrame, path: str = "path") -> DataFrame:
-    """(id, content): WAV bytes of each clip (id, path, start, end) of readable files. Clips are joined to their file, which is read once per batch of its clips."""
+    """(id, content, error): WAV bytes of each clip (id, path, start, end). Clips are joined to their file, which is read once per batch of its clips. Clips of files that can't be read stay, with an error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, out = [], []
+            ids, out, errors = [], [], []
             for content, own in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 try:
                     source = wave.open(io.BytesIO(content))
-                except Exception:  # noqa: BLE001
+                except Exception as e:  # noqa: BLE001 - errors are data
+                    ids += [c["id"] for c in own]
+                    out += [None] * len(own)
+                    errors += [f"{type(e).__name__}: {e}"[:300]] * len(own)
                     continue
                 rate = source.getframerate()
                 for c in own:
@@ -100,7 +103,8 @@ def cut(files: DataFrame, clips: DataFrame, path: str = "path") -> DataFrame:
                         w.writeframes(frames)
                     ids.append(c["id"])
                     out.append(buffer.getvalue())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(out, pa.binary())], ["id", "content"])
+                    errors.append(None)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(out, pa.binary()), pa.array(errors, pa.string())], ["id", "content", "error"])
 
     own = clips.groupBy(path).agg(F.collect_list(F.struct(F.col("id").cast("string").alias("id"), "start", "end")).alias("clips"))  # bounded by a recording
-    return files.join(own, path).select("content", "clips").mapInArrow(run, "id string, content binary")
+    return files.join(own, path).select("content", "clips").mapInArrow(run, "id string, content binary, error string")

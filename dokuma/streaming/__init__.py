@@ -47,3 +47,24 @@ def run_pending(spark: SparkSession, incoming: str, schema: str, done_path: str,
         batch.select(key).withColumn("version", F.lit(version)).write.mode("overwrite").parquet(f"{done_path}/_batch={n}")
 
     return spark.readStream.schema(schema).parquet(incoming).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def run_with_late(spark: SparkSession, incoming: str, schema: str, ts: str, delay: str, on_time: str, late: str, checkpoint: str) -> StreamingQuery:
+    """Rows of new files go to the table ``on_time``, or to the side table ``late`` where they are older than the newest row of the batches before, less ``delay``: a window over on-time
+    rows may close at that mark, and a sweep over the side table corrects it later. The mark of each batch is written beside it, so a batch that is run again parts its rows alike."""
+    marks = f"{late}-marks"
+
+    def step(batch: DataFrame, n: int) -> None:
+        try:
+            mark = spark.read.parquet(marks).filter(F.col("_batch") < n).agg(F.max("newest")).first()[0]
+        except Exception as e:  # noqa: BLE001
+            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+            mark = None
+        t = F.col(ts).cast("timestamp")
+        behind = F.coalesce(t < F.lit(mark).cast("timestamp") - F.expr(f"INTERVAL {delay}"), F.lit(False))
+        batch.filter(~behind).write.mode("overwrite").parquet(f"{on_time}/_batch={n}")
+        batch.filter(behind).write.mode("overwrite").parquet(f"{late}/_batch={n}")
+        batch.agg(F.max(t).alias("newest")).write.mode("overwrite").parquet(f"{marks}/_batch={n}")
+
+    return spark.readStream.schema(schema).parquet(incoming).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -103,3 +103,40 @@ def test_runs_and_envelope(spark):
     assert [tuple(x) for x in col(spark, [[1.0, -1.0, -1.0, 2.0, -3.0]], lambda c: signal.runs_below(c, F.lit(0.0)), "array<double>")[0]] == [(1, 3), (4, 5)]
     env = col(spark, [[0.5] * 40 + [0.0] * 40], lambda c: signal.envelope(c, 20, 10), "array<double>")[0]
     assert len(env) == 7 and env[0] == pytest.approx(-6.0206, abs=1e-3) and env[-1] == pytest.approx(-120.0)
+
+
+def test_loudness():
+    import numpy as np
+
+    from dokuma.functions.loudness import loudness
+
+    rate = 48000
+    tone = np.sin(2 * np.pi * 997 * np.arange(2 * rate) / rate)
+    assert loudness(tone, rate) == pytest.approx(-3.01, abs=0.1)  # a full-scale tone near 1 kHz
+    noise = np.random.default_rng(0).standard_normal(2 * 24000) * 0.1
+    assert -30 < loudness(noise, 24000) < -10 and loudness(noise, 24000) - loudness(noise * 0.1, 24000) == pytest.approx(20, abs=0.02)
+    assert loudness(np.zeros(48000), 24000) is None and loudness(noise[:7200], 24000) is None and loudness(noise[:9600], 24000) is None
+    half = np.concatenate([noise, np.zeros(5 * 24000)])  # silence falls through the gate
+    assert loudness(half, 24000) == pytest.approx(loudness(noise, 24000), abs=0.5)
+
+
+def test_loudness_column(spark):
+    from dokuma.functions.loudness import loudness_lufs
+
+    df = spark.createDataFrame([(1, [0.5, -0.5] * 8000, 8000), (2, None, 8000), (3, [0.1], None), (4, [], 8000)], "i int, x array<double>, r int")
+    got = {r.i: r.l for r in df.select("i", loudness_lufs("x", "r").alias("l")).collect()}
+    assert got[1] is not None and (got[2], got[3], got[4]) == (None, None, None)
+
+
+def test_filters_and_digests(tmp_path):
+    import hashlib
+
+    from dokuma.providers import verified
+
+    assert signal.decode_filters() == "highpass=f=40.0" and signal.decode_filters(ceiling_db=-1.0).endswith("alimiter=limit=0.8913:level=false")
+    p = tmp_path / "w.bin"
+    p.write_bytes(b"weights")
+    assert verified(str(p), hashlib.sha256(b"weights").hexdigest()) == str(p)
+    for path, digest in ((str(p), "0" * 64), (str(p), None), (str(tmp_path / "no"), "0" * 64)):
+        with pytest.raises((ValueError, FileNotFoundError)):
+            verified(path, digest)

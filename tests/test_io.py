@@ -1,5 +1,8 @@
 """Sources, sinks and streams on small files."""
 
+import datetime
+
+import pytest
 from pyspark.sql import functions as F
 
 from dokuma import schema, sources, streaming
@@ -82,4 +85,46 @@ def test_wav_files(spark, tmp_path):
     where = files.filter("path like '%a.wav'").select("path").first().path
     clips = spark.createDataFrame([("x", where, 0.25, 0.75), ("y", where, 0.9, 9.0), ("z", where.replace("a.wav", "bad.wav"), 0.0, 1.0)], "id string, path string, start double, end double")
     cuts = audio.cut(files, clips)
-    assert {r.path: r.duration for r in audio.probe(cuts.select(F.col("id").alias("path"), "content")).collect()} == {"x": 0.5, "y": 0.1}
+    assert {r.path: r.duration for r in audio.probe(cuts.filter("error is null").select(F.col("id").alias("path"), "content")).collect()} == {"x": 0.5, "y": 0.1}
+    assert [(r.id, r.content) for r in cuts.filter("error is not null").collect()] == [("z", None)]
+
+
+def test_late_rows_go_to_a_side_table(spark, tmp_path):
+    d = {k: str(tmp_path / k) for k in ("in", "ok", "late", "cp")}
+
+    def run(rows):
+        spark.createDataFrame(rows, "id int, ts timestamp").coalesce(1).write.mode("append").parquet(d["in"])
+        streaming.run_with_late(spark, d["in"], "id int, ts timestamp", "ts", "10 minutes", d["ok"], d["late"], d["cp"]).awaitTermination()
+
+    at = lambda h, m: datetime.datetime(2026, 1, 1, h, m)
+    run([(1, at(10, 0)), (2, at(12, 0)), (3, None)])
+    run([(4, at(11, 55)), (5, at(11, 40)), (6, at(12, 30))])
+    run([(7, at(12, 19)), (8, at(12, 21))])
+    ids = lambda k: {r.id for r in spark.read.parquet(d[k]).collect()}
+    assert ids("ok") == {1, 2, 3, 4, 6, 8} and ids("late") == {5, 7}
+
+
+def test_shards_are_the_same_in_every_run(spark, tmp_path):
+    df = spark.range(103).select(F.format_string("k%05d", "id").alias("id"))
+    assert sinks.missing_shards(df, str(tmp_path / "s"), 4, ["id"], {1, 3}) == [0, 2] and sinks.missing_shards(df, str(tmp_path / "s"), 4, ["id"], {0, 2}) == [1, 3]
+    got = spark.read.parquet(str(tmp_path / "s"))
+    assert got.count() == 103 and got.groupBy("shard").agg(F.max("id").alias("m")).orderBy("shard").first().m == "k00025"
+    sized = df.select("id", F.lit(1000).alias("bytes"), F.lit(2.0).alias("duration"))
+    assert sinks.shards_for(sized, "bytes", "duration", 10_000, 10, "s") == 11 and sinks.shards_for(sized.limit(0), "bytes", "duration", 10, 10, "s") == 1
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    from dokuma.session import shared_dir
+
+    class Conf:
+        def get(self, _k, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        shared_dir(Session())
