@@ -29,6 +29,7 @@ from .components import components
 ROWS, BANDS, MANTISSA = 5, 44, 4
 MARGIN = 0.2
 HOT = 2_000
+BAND_ROW = "band long, k1 long, bm long, n int"
 
 
 def registers(f: np.ndarray, starts: np.ndarray, count: int) -> np.ndarray:
@@ -82,14 +83,26 @@ def sketch(batches: Iterator[pa.RecordBatch], rows: int, bands: int) -> Iterator
         yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(k1), pa.array(bm), pa.array(size)], ["band", "k1", "bm", "n"])
 
 
+def hot_bands(texts: DataFrame, rows: int, bands: int, among: int = 64, least: int = 200) -> DataFrame | None:
+    """Bands that hold a thousandth of all classes or more, as far as every ``among``-th class shows (by its key; ``least`` of them at least), or None. They only decide how rows travel: a
+    band listed here has several classes for certain, so its rows needn't meet in one task to be kept. At most 1,000 a band position."""
+    few = texts.filter(F.pmod("k1", F.lit(among)) == 0).select("k1", "k2", "n", "bm", "feats").dropDuplicates(["k1", "k2"])
+    some = materialize(few.mapInArrow(lambda it: sketch(it, rows, bands), BAND_ROW).groupBy("band").agg(F.count("*").alias("n")), "sampled")
+    total = some.agg(F.sum("n")).first()[0] or 0
+    hot = some.filter(F.col("n") >= max(least, total / bands / 1000)).select("band")
+    return hot if hot.take(1) else None
+
+
 def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows, sorted by band, whose band another row has too. Streams: only the last row of a batch waits for the next one."""
+    """Rows, sorted by band, whose band another row has too, or is marked as hot. Streams: only the last row of a batch waits for the next one."""
     held: pa.RecordBatch | None = None
     like = False
     for b in batches:
         if not b.num_rows:
             continue
         x = np.asarray(b.column(0))
+        hot = np.asarray(b.column(4)) if b.num_columns > 4 else np.zeros(len(x), bool)
+        b = b.select([0, 1, 2, 3])
         same = x[1:] == x[:-1]
         if held is not None:
             goes_on = held.column(0)[0].as_py() == x[0]
@@ -98,10 +111,10 @@ def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         else:
             goes_on = False
         before = np.append(goes_on, same)
-        keep = before[:-1] | same
+        keep = before[:-1] | same | hot[:-1]
         if keep.any():
             yield b.slice(0, b.num_rows - 1).filter(pa.array(keep))
-        held, like = b.slice(b.num_rows - 1), bool(before[-1])
+        held, like = b.slice(b.num_rows - 1), bool(before[-1] or hot[-1])
     if held is not None and like:
         yield held
 
@@ -140,12 +153,19 @@ def verify(batches: Iterator[pa.RecordBatch], least: float, count: int) -> Itera
 
 def class_pairs(texts: DataFrame, least: float, rows: int = ROWS, bands: int = BANDS, hot: int = HOT) -> DataFrame:
     """Pairs of different classes (a1, a2) and (b1, b2) with exact similarity >= ``least``; ``texts``: a written table of ``bags``."""
-    kind = "band long, k1 long, bm long, n int"
+    kind = BAND_ROW
     # Copies are dropped before the shuffle, so a text that fills a third of the table sends one row a task.
     wide = ("w0", "w1", "w2", "w3")
     classes = texts.select("k1", "k2", "n", "bm", *wide, "feats").dropDuplicates(["k1", "k2"])
-    keys = classes.select("k1", "n", "bm", "feats").mapInArrow(lambda it: sketch(it, rows, bands), kind).repartition("band").sortWithinPartitions("band")
-    keys = materialize(keys.mapInArrow(shared, kind), "shared")  # one shuffle; most bands belong to one class and end here
+    keys = classes.select("k1", "n", "bm", "feats").mapInArrow(lambda it: sketch(it, rows, bands), kind)
+    hot_ = hot_bands(texts, rows, bands)
+    if hot_ is None:
+        keys = keys.repartition("band")
+    else:
+        keys = keys.join(F.broadcast(hot_.withColumn("hot", F.lit(True))), "band", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+        keys = keys.repartition("band", F.when(F.col("hot"), F.pmod("k1", F.lit(64))))
+    # One shuffle; most bands belong to one class and end here. Rows of bands known to be hot are dealt out.
+    keys = materialize(keys.sortWithinPartitions("band").mapInArrow(shared, kind), "shared")
 
     def joined(k: DataFrame, crowded: bool = False) -> DataFrame:
         k = bags.parts(k, "band") if crowded else k

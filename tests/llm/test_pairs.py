@@ -66,6 +66,19 @@ def test_template_that_fills_bands(spark, monkeypatch, hot, crowd):
     assert got == {(f"c{i:04d}", f"c{j:04d}") for i in range(len(texts)) for j in range(i + 1, len(texts)) if similar(texts[i], texts[j])} and got
 
 
+def test_hot_bands_stay_where_they_are(spark, monkeypatch):
+    """Bands listed as hot are dealt out over tasks; the pairs are the same."""
+    r = random.Random(12)
+    template = [f"kalıp{i}" for i in range(14)]
+    texts = [" ".join(template + [f"özel{r.randrange(300)}" for _ in range(3)]) for _ in range(150)] + planted(10)
+    b = materialize(bags.bags(table(spark, texts), "id", F.col("text"), 12))
+    hot = near_dup.hot_bands(b, near_dup.ROWS, near_dup.BANDS, among=1, least=20)
+    assert hot is not None and near_dup.hot_bands(b, near_dup.ROWS, near_dup.BANDS) is None
+    want = sorted(map(tuple, near_dup.class_pairs(b, 0.7).select("a1", "b1").collect()))
+    monkeypatch.setattr(near_dup, "hot_bands", lambda *_: hot)
+    assert sorted(map(tuple, near_dup.class_pairs(b, 0.7).select("a1", "b1").collect())) == want and want
+
+
 def test_groups_cover_links(spark):
     texts = planted(20, 9)
     members, pairs = near_dup.near_duplicates(bags.bags(table(spark, texts), "id", F.col("text"), 12), 0.7)
