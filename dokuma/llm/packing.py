@@ -13,12 +13,14 @@ place: their container is null.
 from __future__ import annotations
 
 import base64
+import os
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +41,13 @@ def encoder(path: str):  # noqa: ANN201
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", tokenizer: str = TOKENIZER) -> DataFrame:
-    """(id, n_tokens) of each text; null texts have none."""
+    """(id, n_tokens) of each text; null texts have none. The vocabulary is read on the driver's machine and sent to the workers, unless only they have it."""
+    sent = os.path.exists(tokenizer)
+    if sent:
+        docs.sparkSession.sparkContext.addFile(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(tokenizer)
+        e = encoder(SparkFiles.get(os.path.basename(tokenizer)) if sent else tokenizer)
         for b in batches:
             n = [len(e.encode_ordinary(t)) if t else 0 for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], [id_col, "n_tokens"])
