@@ -66,6 +66,8 @@ def release(spark: SparkSession) -> None:
 def spread(scan: DataFrame) -> DataFrame:
     """A scan (with at most projections and filters) that would run in fewer tasks than there are cores - a small file - dealt out to all of them. Larger inputs,
     which are split by size, stay as they are and move no data."""
+    if not hasattr(scan, "_jdf"):  # a remote session doesn't show its plans
+        return scan
     cores = scan.sparkSession.sparkContext.defaultParallelism
     if "Adaptive" in scan._jdf.queryExecution().executedPlan().nodeName():  # not a mere scan: its shuffles would run for the count
         return scan

@@ -1,4 +1,5 @@
-"""PCM WAV files as tables: probing headers and reading samples. Other codecs and models plug in as providers."""
+"""PCM WAV files as tables: probing headers, reading samples and cutting clips. Files are opened where their bytes are needed, through the file system of their path, and
+only what is needed is read: a header, or the interval of a clip. Other codecs and models plug in as providers."""
 
 from __future__ import annotations
 
@@ -8,20 +9,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pa_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PROBE = "path string, sample_rate int, channels int, frames long, duration double, error string"
 
 
-def _probe(content: bytes) -> tuple:
-    with wave.open(io.BytesIO(content)) as w:
+def _opened(path: str, content: bytes | None):  # noqa: ANN202
+    """A seekable file of a path (any file system Arrow knows), or of bytes that are at hand."""
+    if content is not None:
+        return io.BytesIO(content)
+    if ":" not in path.split("/", 1)[0]:
+        return open(path, "rb")
+    fs, at = pa_fs.FileSystem.from_uri(path)
+    return fs.open_input_file(at)
+
+
+def _probe(path: str, content: bytes | None) -> tuple:
+    with _opened(path, content) as f, wave.open(f) as w:
         return w.getframerate(), w.getnchannels(), w.getnframes(), w.getnframes() / w.getframerate()
 
 
-def _samples(content: bytes) -> tuple[int, np.ndarray]:
+def _samples(path: str, content: bytes | None) -> tuple[int, np.ndarray]:
     """Sample rate and mono samples in -1..1."""
-    with wave.open(io.BytesIO(content)) as w:
+    with _opened(path, content) as f, wave.open(f) as w:
         width, n = w.getsampwidth(), w.getnchannels()
         raw = w.readframes(w.getnframes())
         rate = w.getframerate()
@@ -34,24 +46,29 @@ def _samples(content: bytes) -> tuple[int, np.ndarray]:
 
 
 def wav_files(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.wav").load(root).select("path", "content")
+    """Paths of all WAV files below ``root``; contents are not read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.wav").load(root).select("path")
+
+
+def _with_content(files: DataFrame) -> DataFrame:
+    return files.select("path", "content" if "content" in files.columns else F.lit(None).cast("binary").alias("content"))
 
 
 def probe(files: DataFrame) -> DataFrame:
-    """Header values of each file; files that cannot be read have an error and nulls, and stay."""
+    """Header values of each file (path, or path and content); files that cannot be read have an error and nulls, and stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for p, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 try:
-                    rows.append((p, *_probe(c), None))
+                    rows.append((p, *_probe(p, c), None))
                 except Exception as e:  # noqa: BLE001 - errors are data
                     rows.append((p, None, None, None, None, f"{type(e).__name__}: {e}"[:300]))
             kinds = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["path", "sample_rate", "channels", "frames", "duration", "error"])
 
-    return files.select("path", "content").mapInArrow(run, PROBE)
+    return _with_content(files).mapInArrow(run, PROBE)
 
 
 def samples(files: DataFrame) -> DataFrame:
@@ -60,16 +77,16 @@ def samples(files: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rates, xs = [], []
-            for c in b.column(1).to_pylist():
+            for p, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 try:
-                    rate, x = _samples(c)
+                    rate, x = _samples(p, c)
                 except Exception:  # noqa: BLE001
                     rate, x = None, None
                 rates.append(rate)
                 xs.append(x)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rates, pa.int32()), pa.array(xs, pa.list_(pa.float32()))], ["path", "sample_rate", "samples"])
 
-    return files.select("path", "content").mapInArrow(run, "path string, sample_rate int, samples array<float>")
+    return _with_content(files).mapInArrow(run, "path string, sample_rate int, samples array<float>")
 
 
 def truncated(sources: DataFrame, decoded: str, container: str, cap_sec: float, ratio: float = 0.95) -> DataFrame:
@@ -79,14 +96,15 @@ def truncated(sources: DataFrame, decoded: str, container: str, cap_sec: float,
 
 
 def cut(files: DataFrame, clips: DataFrame, path: str = "path") -> DataFrame:
-    """(id, content, error): WAV bytes of each clip (id, path, start, end). Clips are joined to their file, which is read once per batch of its clips. Clips of files that can't be read stay, with an error."""
+    """(id, content, error): WAV bytes of each clip (id, path, start, end). Clips are joined to their file, which is opened once; of it only their intervals are read. Clips of files that can't be read stay, with an error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, out, errors = [], [], []
-            for content, own in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for name, content, own in zip(*(c.to_pylist() for c in b.columns)):
                 try:
-                    source = wave.open(io.BytesIO(content))
+                    file = _opened(name, content)
+                    source = wave.open(file)
                 except Exception as e:  # noqa: BLE001 - errors are data
                     ids += [c["id"] for c in own]
                     out += [None] * len(own)
@@ -104,7 +122,8 @@ def cut(files: DataFrame, clips: DataFrame, path: str = "path") -> DataFrame:
                     ids.append(c["id"])
                     out.append(buffer.getvalue())
                     errors.append(None)
+                file.close()
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(out, pa.binary()), pa.array(errors, pa.string())], ["id", "content", "error"])
 
     own = clips.groupBy(path).agg(F.collect_list(F.struct(F.col("id").cast("string").alias("id"), "start", "end")).alias("clips"))  # bounded by a recording
-    return files.join(own, path).select("content", "clips").mapInArrow(run, "id string, content binary, error string")
+    return _with_content(files).withColumnRenamed("path", "_file").join(own, F.col("_file") == F.col(path)).select("_file", "content", "clips").mapInArrow(run, "id string, content binary, error string")
