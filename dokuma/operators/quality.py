@@ -133,6 +133,18 @@ def figures(df: DataFrame, expected: dict[str, tuple[Column, float, float]]) ->
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def card_figures(card: str, heading: str, found: DataFrame, key: str, columns: list[str], tolerance: float) -> DataFrame:
+    """(figure, expected, found, ok): the cells of a card's table (its first column is the key, the header names the others) against a table of the same figures. A cell without a number,
+    and a row that isn't found, are wrong."""
+    head, *body = table_rows(card, heading)
+    cells = [(r[0], c, parse_number(r[head.index(c)])) for r in body for c in columns]
+    stated = found.sparkSession.createDataFrame(cells, "k string, c string, expected double")
+    long = found.select(F.col(key).alias("k"), F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("found")) for c in columns])).alias("x")).select("k", "x.*")
+    j = stated.join(long, ["k", "c"], "left")
+    ok = F.coalesce(F.abs(F.col("expected") - F.col("found")) <= tolerance, F.lit(False))
+    return j.select(F.concat_ws(": ", "k", "c").alias("figure"), "expected", "found", ok.alias("ok"))
+
+
 def parse_number(cell: str) -> float | None:
     """A number of a table cell: thousands by comma, percent and unit signs ignored; None where there is none."""
     import re
@@ -147,4 +159,4 @@ def table_rows(markdown: str, heading: str, until: str | None = None) -> list[li
     start = next((i + 1 for i, x in enumerate(lines) if x.lstrip("# ").strip() == heading), len(lines))
     end = next((i for i in range(start, len(lines)) if lines[i].startswith("#") and (until is None or lines[i].lstrip("# ").strip() == until)), len(lines))
     rows = [[c.strip() for c in x.strip().strip("|").split("|")] for x in lines[start:end] if x.strip().startswith("|")]
-    return [r for r in rows if not all(set(c) <= {"-", ":"} for c in r)]
+    return [r for r in rows if not all(set(c) <= {"-", ":", " "} for c in r)]
