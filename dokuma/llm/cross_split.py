@@ -5,7 +5,8 @@ and largest weights are kept in count-min sketches of fixed size, over all texts
 inverted lists while no partner could reach the threshold from it alone: neither by its residual norm nor by the largest weights
 of the other side. Any pair at or above the threshold then shares a listed term, and at the first one its product plus
 the product of both residual norms reaches the threshold; pairs below are dropped inside the join, which deals the pairs of a long list out over several
-tasks. What is left gets the exact dot product.
+tasks. So are pairs whose bitmaps show that one of them has more terms of its own than it may: the terms that a partner lacks weigh at most 1 - threshold² of
+a unit vector's squares, and no number of terms weighs less than as many of the lightest. What is left gets the exact dot product.
 
 With weighting "unit" all terms weigh the same, and multiset Jaccard >= j implies cosine >= 2j/(1+j).
 """
@@ -61,14 +62,18 @@ def largest(texts: DataFrame, df, n_texts: int, weighting: str) -> dict[bool, np
     return out
 
 
-def listed(batches: Iterator[pa.RecordBatch], df, most, n_texts: int, weighting: str, least: float) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-    """Entries of the inverted lists: feature, class, weight, residual norm after it, size and bitmap."""
+def listed(batches: Iterator[pa.RecordBatch], df, most, n_texts: int, weighting: str, least: float, bits: tuple[str, ...]) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+    """Entries of the inverted lists: feature, class, weight, residual norm after it, size, terms to spare, side and bitmaps."""
     for b in batches:
         f, n = bags.blobs(b.column("feats"))
         if not len(n):
             continue
         w = unit(f, n, df.value, n_texts, weighting)
         doc = np.repeat(np.arange(len(n)), n)
+        light = (w * w)[np.lexsort((w, doc))]
+        upto = np.cumsum(light)
+        upto -= np.repeat(upto[np.cumsum(n) - n] - light[np.cumsum(n) - n], n)
+        spare = np.bincount(doc[upto <= 1 - least * least + 1e-7], minlength=len(n)).astype(np.int32)
         order = np.lexsort((f, bags.look_up(df.value, f), doc))  # rare first within each text
         f, w = f[order], w[order]
         held = np.repeat(np.asarray(b.column("held")).astype(bool), n)
@@ -84,8 +89,9 @@ def listed(batches: Iterator[pa.RecordBatch], df, most, n_texts: int, weighting:
         bound = np.minimum(np.sqrt(np.maximum(rest, 0)), tail(w * other))
         keep = bound >= least - 1e-7
         after = np.sqrt(np.maximum(rest - w * w, 0) + 1e-9)
-        k1, size, bm = (np.asarray(b.column(c))[doc][keep] for c in ("k1", "n", "bm"))
-        yield pa.RecordBatch.from_arrays([pa.array(f[keep].view(np.int64)), pa.array(k1), pa.array(w[keep].astype(np.float32)), pa.array(after[keep].astype(np.float32)), pa.array(size), pa.array(bm), pa.array(held[keep])], ["f", "k1", "w", "after", "n", "bm", "held"])
+        k1, size, *maps = (np.asarray(b.column(c))[doc][keep] for c in ("k1", "n", *bits))
+        spare = spare[doc][keep]
+        yield pa.RecordBatch.from_arrays([pa.array(f[keep].view(np.int64)), pa.array(k1), pa.array(w[keep].astype(np.float32)), pa.array(after[keep].astype(np.float32)), pa.array(size), pa.array(spare), pa.array(held[keep]), *map(pa.array, maps)], ["f", "k1", "w", "after", "n", "spare", "held", *bits])
 
 
 def dots(batches: Iterator[pa.RecordBatch], df, n_texts: int, weighting: str, least: float) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
@@ -116,11 +122,13 @@ def cosine_join(texts: DataFrame, least: float, weighting: str = "unit", jaccard
     count, n_texts = bags.frequencies(texts)
     df = spark.sparkContext.broadcast(count)
     most = spark.sparkContext.broadcast(largest(texts, df, n_texts, weighting))
-    classes = texts.select("k1", "k2", "held", "n", "bm", "feats").dropDuplicates(["k1", "k2", "held"])
-    lists = materialize(classes.mapInArrow(lambda it: listed(it, df, most, n_texts, weighting, least), "f long, k1 long, w float, after float, n int, bm long, held boolean"), "lists")
+    bits = ("bm",) if jaccard is not None else ("w0", "w1", "w2", "w3")  # uneven weights leave more terms to spare, so more has to be seen of them
+    classes = texts.select("k1", "k2", "held", "n", *bits, "feats").dropDuplicates(["k1", "k2", "held"])
+    lists = materialize(classes.mapInArrow(lambda it: listed(it, df, most, n_texts, weighting, least, bits), f"f long, k1 long, w float, after float, n int, spare int, held boolean, {', '.join(f'{x} long' for x in bits)}"), "lists")
     lists = bags.parts(lists, "f")
     a, b = bags.dealt(lists.filter("held"), False).alias("a"), bags.dealt(lists.filter("not held"), True).alias("b")
-    reach = F.expr(f"double(a.w) * b.w + double(a.after) * b.after >= {least - 1e-4}D")
+    alone = lambda x, y: " + ".join(f"bit_count({x}.{c} & ~{y}.{c})" for c in bits)
+    reach = F.expr(f"double(a.w) * b.w + double(a.after) * b.after >= {least - 1e-4}D AND {alone('a', 'b')} <= a.spare AND {alone('b', 'a')} <= b.spare")
     if jaccard is not None:
         reach = reach & bags.close_enough(jaccard)
     pairs = a.join(b, (F.col("a.f") == F.col("b.f")) & (F.col("a.part") == F.col("b.part")) & reach).select(F.col("a.k1").alias("a1"), F.col("b.k1").alias("b1")).distinct()
