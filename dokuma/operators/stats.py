@@ -67,8 +67,8 @@ def floor_quantiles(df: DataFrame, value: str, ps: list[float], last: bool = Fal
     return F.broadcast(wanted).join(r, F.col("r0") + 1 == F.col("r")).select("p", F.col("v").alias("value"))
 
 
-def linear_percentiles(df: DataFrame, groups: list[str], value: str, ps: dict[str, float]) -> DataFrame:
-    """(groups, n and a column of each name in ``ps``): interpolated percentiles. Ranks come from range partitions, so neither a group nor the distinct values of one are ever in one
+def linear_percentiles(df: DataFrame, groups: list[str], value: str, ps: dict[str, float], floor: tuple[str, ...] = ()) -> DataFrame:
+    """(groups, n and a column of each name in ``ps``): interpolated percentiles; for names in ``floor`` the sorted value at index min(floor(p n), n - 1). Ranks come from range partitions, so neither a group nor the distinct values of one are ever in one
     task; of each group only the two neighbours of a position are looked at. Nulls and NaN are left out."""
     d = df.select(*groups, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     r = ranked(d, groups, [F.asc("_v")], "_r")
@@ -79,7 +79,7 @@ def linear_percentiles(df: DataFrame, groups: list[str], value: str, ps: dict[st
     j = r.alias("r").join(F.broadcast(n.alias("n")) if not groups else n.alias("n"), same).select("r.*", "n.n")
     out = []
     for name, p in ps.items():
-        at = (F.col("n") - 1) * F.lit(float(p))
+        at = F.least(F.floor(F.col("n") * F.lit(float(p))), F.col("n") - 1).cast("double") if name in floor else (F.col("n") - 1) * F.lit(float(p))
         lo = F.floor(at)
         v = lambda k: F.max(F.when(F.col("_r") == k + 1, F.col("_v")))
         low, high = v(lo), v(F.least(lo + 1, F.col("n") - 1))

@@ -60,6 +60,17 @@ def broken_by_flag(spark: SparkSession, sf: str) -> DataFrame:
     return report.broken_by_flag(clips(spark, sf).withColumn("flags", F.coalesce("flags", F.array().cast("array<string>"))))
 
 
+@query(rf"""WITH c AS (SELECT duration, idx, text, {FLAGS} AS fl, regexp_extract(text, '([\p{{L}}\p{{Nd}}])', 1) AS f FROM {ONCE}), b AS (SELECT duration, len(fl) = 0 AS bare, coalesce(text, '') <> '' AND {LOW} AS low, coalesce(text, '') <> '' AND NOT coalesce(regexp_matches(regexp_replace(text, '{CL}+$', ''), '[.!?…]$'), false) AS open, CASE WHEN idx % 4 > 0 THEN idx % 10 / 10.0::DOUBLE END AS m FROM c),
+    q AS (SELECT list_sort(list(duration)) AS d FROM b WHERE duration IS NOT NULL)
+    SELECT count(*) AS n, round(sum(duration) / 3600, 3) AS hours, count(*) FILTER (low) AS lower_start, count(*) FILTER (open) AS no_end, count(*) FILTER (low AND bare) AS lower_start_unflagged, count(*) FILTER (open AND bare) AS no_end_unflagged, count(*) FILTER (low AND open) AS both, count(*) FILTER (duration >= 14.95) AS at_cap,
+      round(100.0 * count(*) FILTER (low) / count(*), 2) AS lower_start_pct, round(100.0 * count(*) FILTER (open) / count(*), 2) AS no_end_pct, round(100.0 * count(*) FILTER (low AND bare) / count(*), 2) AS lower_start_unflagged_pct, round(100.0 * count(*) FILTER (open AND bare) / count(*), 2) AS no_end_unflagged_pct, round(100.0 * count(*) FILTER (duration >= 14.95) / count(*), 2) AS at_cap_pct,
+      round(quantile_cont(duration, 0.5), 2) AS median, (SELECT round(d[CAST(floor(0.05 * len(d)) AS INTEGER) + 1], 2) FROM q) AS p05, (SELECT round(d[CAST(floor(0.95 * len(d)) AS INTEGER) + 1], 2) FROM q) AS p95, round(avg(m), 4) AS align_mean, round(avg(m / 2), 4) AS align_least FROM b""".replace("\\\\", "\\"))
+def arm_figures(spark: SparkSession, sf: str) -> DataFrame:
+    """The clips as one arm of a comparison of segmentations; alignment scores are planted."""
+    c = clips(spark, sf).withColumn("flags", F.coalesce("flags", F.array().cast("array<string>"))).withColumn("m", F.when(F.col("idx") % 4 > 0, F.col("idx") % 10 / F.lit(10.0)))
+    return segment.arm_stats(c.withColumn("l", F.col("m") / 2), scores=("m", "l"))
+
+
 @query(rf"""WITH e AS (SELECT id, levenshtein({ONE_BYTE('text')}, {ONE_BYTE('text_spoken')}) / length({key('text')}) AS cer FROM {ONCE} WHERE length({key('text')}) > 0), j AS (SELECT len(r) = 0 AS recommended, cer FROM e JOIN {REASONS} USING (id) WHERE cer IS NOT NULL)
     SELECT recommended, count(*) AS n, round(avg(cer), 6) AS mean, round(quantile_cont(cer, 0.5), 6) AS median, round(quantile_cont(cer, 0.9), 6) AS p90, round(100 * avg((cer > 0.1)::INT), 3) AS above_pct FROM j GROUP BY recommended""")
 def cer_by_eligibility(spark: SparkSession, sf: str) -> DataFrame:

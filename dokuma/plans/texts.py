@@ -191,3 +191,51 @@ def ablation_two_arms(spark: SparkSession, sf: str) -> DataFrame:
     low, end = text.is_lower_start(F.col("text")), text.has_sentence_end(F.col("text"))
     r = both.rollup("arm", "source_id").agg(F.count("*").alias("n"), F.round(F.sum("duration"), 3).alias("seconds"), F.count_if(low).alias("lower_start"), F.count_if(~end).alias("no_end"), F.count_if(low & (F.size("flags") == 0)).alias("lower_start_unflagged"))
     return r.filter("arm is not null")
+
+
+# Texts and how they are read.
+READINGS = [
+    ("%50 arttı", "yüzde elli arttı"), ("%1,5 oldu", "yüzde bir,beş oldu"), ("1,5 litre su", "bir virgül beş litre su"), ("saat 09:00 oldu", "saat dokuz oldu"), ("14:30 treni", "on dört otuz treni"), ("50₺ verdi", "elli lira verdi"), ("$20 ve 30 €", "yirmi dolar ve otuz avro"), ("50 TL", "elli lira"),
+    ("1.234 kişi", "bin iki yüz otuz dört kişi"), ("1923'te doğdu", "bin dokuz yüz yirmi üç'te doğdu"), ("1001 gece", "bin bir gece"), ("101 dalmaçyalı", "yüz bir dalmaçyalı"), ("3G çekmiyor", "üç ge çekmiyor"), ("F-16 havalandı", "fe on altı havalandı"), ("MI6 ajanı", "me ı altı ajanı"), ("ABCDE-12 kodu", "ABCDE-on iki kodu"), ("mp3 ve TBMM", "mp3 ve TBMM"),
+    ("3. kat", "üçüncü kat"), ("Sonra 1. Naip geldi", "Sonra birinci Naip geldi"), ("Bölüm 5. Ali eve gitti.", "Bölüm beş. Ali eve gitti."), ("bitti 1918. Yeni yıl", "bitti bin dokuz yüz on sekiz. Yeni yıl"), ("Dr. Ali vb. kişiler", "doktor Ali ve benzeri kişiler"), ("M.Ö. 3. yy. başı", "milattan önce üçüncü yüzyıl başı"), ("10-15 kişi", "on-on beş kişi"), ("Ne  güzel!!  Bitti..", "Ne güzel! Bitti."), ("", ""),
+]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join("(" + ", ".join("'" + x.replace("'", "''") + "'" for x in r) + ")" for r in READINGS) + ") t(text, spoken)")
+def spoken_cases(spark: SparkSession, sf: str) -> DataFrame:
+    """A table of known readings."""
+    return spark.createDataFrame([(a,) for a, _ in READINGS], "text string").select("text", speech.to_spoken("text").alias("spoken"))
+
+
+# Recordings of words of 0.5 s, 0.1 s apart, and the clips that come of them: (start, end, words, flags). "|" is a further pause of 2 s.
+RECORDINGS = [
+    ("Ali bu gün geldi. Can da evden gitti. Sonra ev boş kaldı.", [(0.0, 4.75, 8, ""), (4.75, 7.35, 4, "")]),  # the third sentence would pass the target
+    ("Ali bu gün geldi. | Can da evden gitti.", [(0.0, 2.55, 4, ""), (4.25, 6.95, 4, "")]),  # a pause parts what would fit
+    ("Ali " + "ve " * 10 + "bu, " + "da " * 17 + "var.", [(0.0, 7.15, 12, "forced_split"), (7.15, 18.15, 18, "forced_split")]),  # the comma nearest to the target
+    ("Ali " + "ve " * 11 + "| Can " + "da " * 17 + "var.", [(0.0, 7.35, 12, "gap_split"), (9.05, 20.75, 19, "")]),  # a pause within a sentence; its second part reads like a whole one
+    ("Ali " + "ve " * 28 + "var.", [(0.0, 18.15, 30, "oversize")]),  # nowhere to cut
+    ("Evet.", [(0.0, 0.75, 1, "short")]),
+    ("Evet. Ali " + "ve " * 12 + "geldi.", [(0.0, 9.15, 15, "")]),  # too short alone: the next one is taken in
+]
+
+
+def planted_words(recordings: list[str]) -> list[tuple]:
+    out = []
+    for r, said in enumerate(recordings):
+        at, pos = 0.0, 0
+        for w in said.split():
+            if w == "|":
+                at += 2.0
+                continue
+            out.append((r, pos, w, round(at, 3), round(at + 0.5, 3), None))
+            at, pos = at + 0.6, pos + 1
+    return out
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"({r}, {i}, {s}::DOUBLE, {e}::DOUBLE, {n}, '{f}')" for r, (_, cs) in enumerate(RECORDINGS) for i, (s, e, n, f) in enumerate(cs)) + ') t(source_id, idx, start, "end", n_words, flags)')
+def segment_cases(spark: SparkSession, sf: str) -> DataFrame:
+    """Known clips of planted recordings."""
+    from ..schema import WORD
+
+    words = spark.createDataFrame(planted_words([x for x, _ in RECORDINGS]), WORD)
+    return segment.segment(segment.gather_words(words)).select("source_id", "idx", "start", "end", (F.col("b") - F.col("a")).alias("n_words"), F.array_join("flags", ",").alias("flags"))
