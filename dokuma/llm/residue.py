@@ -254,7 +254,7 @@ def line_evidence(docs: DataFrame) -> DataFrame:
                 if t is None:
                     continue
                 for line in fold(t).split("\n"):
-                    line = SPACES.sub(" ", line).strip()
+                    line = " ".join(line.split())
                     if line:
                         at.append(i)
                         keys += xxhash.xxh3_128_digest(DIGITS.sub("0", line))
