@@ -6,7 +6,7 @@ import importlib
 
 from .plans.base import QUERIES, SQL, Query
 
-for _m in ("core", "browsing", "texts", "measures", "sound", "store", "files", "joins", "integrity"):
+for _m in ("core", "browsing", "texts", "measures", "sound", "store", "files", "joins", "integrity", "stages"):
     importlib.import_module(f".plans.{_m}", __package__)
 
 

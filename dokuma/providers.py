@@ -65,7 +65,7 @@ def get(name: str) -> Provider:
 
 
 def run(items: DataFrame, p: Provider) -> DataFrame:
-    """(key, metrics, flags, error): one row per item. A batch that raises is measured item by item; an item that raises has the error and nothing else."""
+    """(key, metrics, flags, error): one row per item. A batch that raises is halved until the items that raise are alone; such an item has the error and nothing else."""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         out = p.measure(pdf)
@@ -75,17 +75,17 @@ def run(items: DataFrame, p: Provider) -> DataFrame:
 
     def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            if not len(pdf):
-                continue
-            try:
-                yield one(pdf)
-            except Exception:  # noqa: BLE001 - errors are data
-                for i in range(len(pdf)):
-                    row = pdf.iloc[i : i + 1]
-                    try:
-                        yield one(row)
-                    except Exception as e:  # noqa: BLE001
-                        yield pd.DataFrame({p.key: row[p.key].to_numpy(), "metrics": [{}], "flags": [[]], "error": [f"{type(e).__name__}: {e}"[:500]]})
+            todo = [pdf] if len(pdf) else []
+            while todo:
+                part = todo.pop()
+                try:
+                    out = one(part)
+                except Exception as e:  # noqa: BLE001 - errors are data
+                    if len(part) > 1:
+                        todo += [part.iloc[len(part) // 2 :], part.iloc[: len(part) // 2]]
+                        continue
+                    out = pd.DataFrame({p.key: part[p.key].to_numpy(), "metrics": [{}], "flags": [[]], "error": [f"{type(e).__name__}: {e}"[:500]]})
+                yield out
 
     kind = dict(items.dtypes)[p.key]
     return items.select(p.key, *p.inputs).mapInPandas(batches, f"{p.key} {kind}, metrics map<string,double>, flags array<string>, error string")
