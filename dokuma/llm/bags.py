@@ -109,31 +109,31 @@ def blobs(column: pa.Array, dtype: type = np.uint64) -> tuple[np.ndarray, np.nda
     return data, np.diff(offsets).astype(np.int64) // np.dtype(dtype).itemsize
 
 
-def buckets(f: np.ndarray) -> np.ndarray:
-    """(HASHES, n): the bucket of each feature in each of the tables of a count-min sketch."""
-    return np.stack([(mix(f, 50 + i) >> U(64 - BUCKET_BITS)).astype(np.int64) + i * BUCKETS for i in range(HASHES)])
+def buckets(f: np.ndarray, hashes: int = HASHES) -> np.ndarray:
+    """(hashes, n): the bucket of each feature in each of the tables of a count-min sketch."""
+    return np.stack([(mix(f, 50 + i) >> U(64 - BUCKET_BITS)).astype(np.int64) + i * BUCKETS for i in range(hashes)])
 
 
 def look_up(table: np.ndarray, f: np.ndarray) -> np.ndarray:
     """The sketch's value of each feature: the least of its buckets, an upper bound that is exact unless all of them are shared."""
-    return table[buckets(f)].min(0)
+    return table[buckets(f, len(table) // BUCKETS)].min(0)
 
 
-def frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
-    """A count-min sketch of how many texts have each feature, over all texts; and the number of texts."""
+def frequencies(texts: DataFrame, hashes: int = HASHES) -> tuple[np.ndarray, int]:
+    """A count-min sketch (one table is enough for an order of terms) of how many texts have each feature, over all texts; and the number of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, rows = np.zeros(HASHES * BUCKETS, np.int64), 0
+        count, rows = np.zeros(hashes * BUCKETS, np.int64), 0
         for b in batches:
             f = blobs(b.column(0))[0]
             if len(f):
-                count += np.bincount(buckets(f).reshape(-1), minlength=HASHES * BUCKETS)
+                count += np.bincount(buckets(f, hashes).reshape(-1), minlength=hashes * BUCKETS)
             rows += b.num_rows
         at = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(count[at], rows))], ["bucket", "n"])
 
-    got = texts.select("feats").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # HASHES * BUCKETS rows at most
-    out = np.zeros(HASHES * BUCKETS, np.int64)
+    got = texts.select("feats").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # hashes * BUCKETS rows at most
+    out = np.zeros(hashes * BUCKETS, np.int64)
     own = got[got.bucket >= 0]
     out[own.bucket.to_numpy()] = own.n.to_numpy()
     return out, int(got[got.bucket < 0].n.sum())

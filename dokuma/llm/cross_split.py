@@ -39,7 +39,7 @@ def largest(texts: DataFrame, df, n_texts: int, weighting: str) -> dict[bool, np
     """Largest weight of any text per bucket of the sketch, for each side."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = bags.HASHES * bags.BUCKETS
+        size = len(df.value)
         most = np.zeros((2, size), np.float64)
         for b in batches:
             f, n = bags.blobs(b.column(0))
@@ -47,16 +47,16 @@ def largest(texts: DataFrame, df, n_texts: int, weighting: str) -> dict[bool, np
                 continue
             w = unit(f, n, df.value, n_texts, weighting)
             held = np.repeat(np.asarray(b.column(1)).astype(np.int64), n)
-            for at in bags.buckets(f):
+            for at in bags.buckets(f, size // bags.BUCKETS):
                 np.maximum.at(most.reshape(-1), held * size + at, w)
         for s in (0, 1):
             at = np.flatnonzero(most[s])
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), s)), pa.array(at), pa.array(most[s][at])], ["side", "bucket", "w"])
 
-    got = texts.select("feats", F.col("held").cast("int")).mapInArrow(run, "side long, bucket long, w double").groupBy("side", "bucket").agg(F.max("w").alias("w")).toPandas()  # 2 HASHES BUCKETS rows at most
+    got = texts.select("feats", F.col("held").cast("int")).mapInArrow(run, "side long, bucket long, w double").groupBy("side", "bucket").agg(F.max("w").alias("w")).toPandas()  # twice the sketch's rows at most
     out = {}
     for s in (0, 1):
-        out[bool(s)] = np.zeros(bags.HASHES * bags.BUCKETS)
+        out[bool(s)] = np.zeros(len(df.value))
         own = got[got.side == s]
         out[bool(s)][own.bucket.to_numpy()] = own.w.to_numpy()
     return out
@@ -119,7 +119,7 @@ def cosine_join(texts: DataFrame, least: float, weighting: str = "unit", jaccard
     cosine and multiset Jaccard. ``texts``: a written table of ``bags`` with a boolean ``held``. ``jaccard`` (unit weights
     only): also drop in the join what sizes and bitmaps show to be below it."""
     spark = texts.sparkSession
-    count, n_texts = bags.frequencies(texts)
+    count, n_texts = bags.frequencies(texts, 1 if weighting == "unit" else bags.HASHES)
     df = spark.sparkContext.broadcast(count)
     most = spark.sparkContext.broadcast(largest(texts, df, n_texts, weighting))
     bits = ("bm",) if jaccard is not None else ("w0", "w1", "w2", "w3")  # uneven weights leave more terms to spare, so more has to be seen of them

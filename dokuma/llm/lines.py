@@ -93,13 +93,14 @@ def _name():  # noqa: ANN202
 def blocks(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """Each repeated line with its boilerplate block, the least node of its component: (channel, k1, k2, long, n_sources, n_rows, block). Components without a long line are none."""
     roots = components(links, "node", "next")
-    found = materialize(nodes.withColumn("node", _name()).join(roots, "node", "left").select(*nodes.columns, F.coalesce("root", "node").alias("block")), "blocks")
-    return found.join(found.groupBy("block").agg(F.max("long").alias("any")).filter("any").select("block"), "block", "left_semi").select(*nodes.columns, "block")
+    found = nodes.withColumn("node", _name()).join(roots, "node", "left").select(*nodes.columns, F.coalesce("root", "node").alias("block"))
+    whole = found.groupBy("block").agg(F.max("long").alias("any")).filter("any").select("block")
+    return materialize(found.join(whole, "block", "left_semi").select(*nodes.columns, "block"), "blocks")
 
 
 def members(occurrences: DataFrame, found: DataFrame) -> DataFrame:
     """Each place of a line of a block. Short lines are places only in a row of lines of their block that has a long one."""
-    own = hot_split_join(occurrences, materialize(found.select(*NODE, "block", "n_rows"), "members"), NODE, "n_rows")
+    own = hot_split_join(occurrences, found.select(*NODE, "block", "n_rows"), NODE, "n_rows")
     w = Window.partitionBy("id", "channel").orderBy("line_no")
     parted = F.coalesce((F.lag("block").over(w) != F.col("block")) | (F.lag("nth").over(w) != F.col("nth") - 1), F.lit(True))
     rows = own.withColumn("row", F.sum(parted.cast("int")).over(w))
@@ -109,7 +110,7 @@ def members(occurrences: DataFrame, found: DataFrame) -> DataFrame:
 def boilerplate(clips: DataFrame, support: int = 5) -> tuple[DataFrame, DataFrame]:
     """(blocks, places of their lines) of all texts of ``clips``."""
     nodes, occurrences = repeated(materialize(line_rows(clips), "lines"), support)
-    found = materialize(blocks(nodes, edges(occurrences, support)), "blocks")
+    found = blocks(nodes, edges(occurrences, support))
     return found, members(occurrences, found)
 
 

@@ -84,13 +84,12 @@ def sketch(batches: Iterator[pa.RecordBatch], rows: int, bands: int) -> Iterator
 
 
 def hot_bands(texts: DataFrame, rows: int, bands: int, among: int = 64, least: int = 200) -> DataFrame | None:
-    """Bands that hold a thousandth of all classes or more, as far as every ``among``-th class shows (by its key; ``least`` of them at least), or None. They only decide how rows travel: a
-    band listed here has several classes for certain, so its rows needn't meet in one task to be kept. At most 1,000 a band position."""
+    """The largest bands, as far as every ``among``-th class shows (by its key; those with ``least`` of them at least), or None. They only decide how rows travel: a
+    band listed here has several classes for certain, so its rows needn't meet in one task to be kept. At most 1,000 a band position on average."""
     few = texts.filter(F.pmod("k1", F.lit(among)) == 0).select("k1", "k2", "n", "bm", "feats").dropDuplicates(["k1", "k2"])
-    some = materialize(few.mapInArrow(lambda it: sketch(it, rows, bands), BAND_ROW).groupBy("band").agg(F.count("*").alias("n")), "sampled")
-    total = some.agg(F.sum("n")).first()[0] or 0
-    hot = some.filter(F.col("n") >= max(least, total / bands / 1000)).select("band")
-    return hot if hot.take(1) else None
+    some = few.mapInArrow(lambda it: sketch(it, rows, bands), BAND_ROW).groupBy("band").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    hot = some.orderBy(F.desc("n")).limit(1_000 * bands).select("band").collect()
+    return texts.sparkSession.createDataFrame(hot, "band long") if hot else None
 
 
 def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +179,7 @@ def class_pairs(texts: DataFrame, least: float, rows: int = ROWS, bands: int = B
         full = F.broadcast(full) if n_full <= 500_000 else full
         marked = keys.join(full, "band", "left")
         members = classes.join(marked.filter("rows is not null").select("k1").distinct(), "k1", "left_semi")
-        count = texts.sparkSession.sparkContext.broadcast(bags.frequencies(texts)[0])
+        count = texts.sparkSession.sparkContext.broadcast(bags.frequencies(texts, 1)[0])
         rare = materialize(members.select("k1", "n", "bm", "feats").mapInArrow(lambda it: rare_rows(it, count, least), kind), "rare")
         pairs = joined(marked.filter("rows is null").drop("rows")).unionByName(joined(rare, crowded=True)).distinct()
     else:
